@@ -138,22 +138,23 @@ HEADER_SQL = [c for c in ops.HEADER if c not in HEADER_TIMES]
       cast(updated_at_utc as string) from f_campaign_vendors""",
 )
 def _(x):
-    documents = nested(x)
-    keep = ["country_code", "campaign_id"]
-
     def elements(array, kind, identity, detail):
-        return unfold(documents.select(*keep, array), array, keep).select(
-            *keep,
-            F.lit(kind).alias("kind"),
-            F.col(identity).alias("element_id"),
-            F.col(detail).cast("string").alias("detail"),
+        return F.transform(
+            array,
+            lambda e: F.struct(
+                F.lit(kind).alias("kind"),
+                e[identity].alias("element_id"),
+                e[detail].cast("string").alias("detail"),
+            ),
         )
 
-    return (
-        elements("benefits", "benefit", "sku", "supplier_funding_value")
-        .unionByName(elements("triggers", "trigger", "sku", "updated_at_utc"))
-        .unionByName(elements("vendors", "vendor", "catalog_global_vendor_id", "updated_at_utc"))
+    everything = F.concat(
+        elements("benefits", "benefit", "sku", "supplier_funding_value"),
+        elements("triggers", "trigger", "sku", "updated_at_utc"),
+        elements("vendors", "vendor", "catalog_global_vendor_id", "updated_at_utc"),
     )
+    keep = ["country_code", "campaign_id"]
+    return unfold(nested(x).withColumn("elements", everything), "elements", keep)
 
 
 @register(

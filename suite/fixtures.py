@@ -300,9 +300,9 @@ RAW_TYPE = """case blk % 7 when 0 then 'Strikethrough' when 1 then 'SameItemBund
 RAW_DISCOUNT = f"""'{{"type":"' || case (blk + edit) % 3 when 0 then 'ABSOLUTE' else 'PERCENTAGE' end
     || '","value":' || case when blk % 17 = 0 then '"abc"' when blk % 3 = 0 then '100'
     else {s("blk % 90")} end || '}}' as discount"""
+# Every raw row exists in an earlier and a later edit.
 FIXTURES["f_edits"] = """
-select 0 as edit from region where r_regionkey = 0
-union all select 1 as edit from region where r_regionkey = 0"""
+select n, 0 as edit from f_entities union all select n, 1 as edit from f_entities"""
 FIXTURES["f_campaigns_raw"] = f"""
 select {ENTITY}, campaign_id as global_id, 'Raw ' || {s("edit")} as name, {RAW_TYPE},
   {RAW_DISCOUNT}, cast(10 as bigint) as global_usage_limit, cast(2 as bigint) as user_usage_limit,
@@ -320,7 +320,7 @@ select {ENTITY}, campaign_id as global_id, 'Raw ' || {s("edit")} as name, {RAW_T
   cast(null as double) as fixed_bundle_price, cast(null as string) as experiment_id,
   cast(null as string) as variation_name, 'PORTAL' as creation_source,
   'SUPPLIER' as external_funder, 'READY' as state
-from f_campaign_keys join f_edits on true"""
+from f_campaign_keys join f_edits using (n)"""
 
 RAW_BENEFIT = f"""{ENTITY}, campaign_id, {SKU} as sku, 'PERCENTAGE' as discount_type"""
 FIXTURES["f_benefits_new_raw"] = f"""
@@ -329,20 +329,20 @@ select {RAW_BENEFIT}, cast(pkey % 30 + edit as double) as discount, cast(5 as bi
   cast(0.5 as double) * (pkey % 8) as supplier_fund_value,
   {at("pkey % 300", 0, "1994-01-01")} as created_at,
   {at("pkey % 300 + edit", 0, "1994-02-01")} as modified_at, edit = 1 as is_deleted
-from f_offer join f_edits on true where kind = 'B'"""
+from f_offer join f_edits using (n) where kind = 'B'"""
 FIXTURES["f_benefits_old_raw"] = f"""
 select {RAW_BENEFIT}, cast(pkey % 20 + edit as double) as discount, cast(9 as bigint) as max_qty,
   cast(1 as bigint) as remaining_qty, 'PERCENTAGE' as supplier_fund_type,
   cast(0.25 as double) * (pkey % 8) as supplier_fund_value,
   case when pkey % 3 = 0 then null else {at("pkey % 300", 0, "1992-01-01")} end as created_at,
   {at("pkey % 300 - edit", 0, "1992-02-01")} as modified_at, false as is_deleted
-from f_offer join f_edits on true"""
+from f_offer join f_edits using (n)"""
 FIXTURES["f_triggers_old_raw"] = f"""
 select {ENTITY}, {campaign_id("'A'", A_BLOCK)} as campaign_id,
   case when pkey % 13 <> 0 then {SKU} end as sku, {CATALOG_ID} as product_id,
   {VENDOR} as vendor_id, {at("pkey % 300", 0, "1994-01-01")} as created_at,
   {at("pkey % 300 + edit + slot % 2", 0, "1994-02-01")} as modified_at, pkey % 11 = 1 as is_deleted
-from f_assort join f_edits on true"""
+from f_assort join f_edits using (n)"""
 FIXTURES["f_triggers_new"] = f"""
 select {ENTITY}, campaign_id, {SKU} as sku, {at("pkey % 300", 0, "1994-03-01")} as created_at_utc,
   {at("pkey % 300", 2, "1994-04-01")} as updated_at_utc, false as is_deleted
@@ -356,14 +356,14 @@ FIXTURES["f_campaign_vendors_raw"] = f"""
 select {ENTITY}, campaign_id, {GLOBAL_VENDOR} as vendor_id,
   {at("slot", 0, "1994-01-01")} as creation_date,
   case when slot % 3 = 0 then null else {at("slot + edit", 0, "1994-05-01")} end as updated_date
-from f_campaign_slots join f_edits on true"""
+from f_campaign_slots join f_edits using (n)"""
 FIXTURES["f_vendors_raw"] = f"""
 select country_code, case slot when 39 then 'TEST_VA' else global_entity_id end as global_entity_id,
   {GLOBAL_VENDOR} as vendor_id, 'code' || {s("slot")} || {s("edit")} as vendor_code,
   'Vendor ' || {s("slot")} as name, {at("slot", 0, "1990-01-01")} as created_at,
   {at("slot + edit", 0, "1991-01-01")} as modified_at, cast(null as timestamp) as deleted_at,
   {at("slot + edit", 0, "1992-01-01")} as synchronised_at
-from f_slots join f_edits on true"""
+from f_slots join f_edits using (n)"""
 FIXTURES["f_external"] = f"""
 select {ENTITY}, order_id, {SKU} as sku, order_at as order_fulfilled_at,
   {LINE_CAMPAIGN} as campaign_id, max(cast(0.3 as double) * qty) as amount
