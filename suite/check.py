@@ -48,12 +48,13 @@ def compare(spark, con, name: str, sf_dir: str) -> str:
         return f"COLUMNS DIFFER {sorted(differ)}"
     if mine == theirs:
         return f"ok {len(mine)} rows {timing}"
-    only_mine = [r for r in mine if r not in set(theirs)][:2]
-    only_theirs = [r for r in theirs if r not in set(mine)][:2]
+    in_mine, in_theirs = set(mine), set(theirs)
+    only_mine = [r for r in mine if r not in in_theirs]
+    only_theirs = [r for r in theirs if r not in in_mine]
     names = sorted(columns)
     return (
         f"DIFFER {len(mine)} vs {len(theirs)} {timing}\n  columns {names}\n"
-        f"  spark {only_mine}\n  sql   {only_theirs}"
+        f"  spark {len(only_mine)} {only_mine[:3]}\n  sql   {len(only_theirs)} {only_theirs[:3]}"
     )
 
 

@@ -191,19 +191,21 @@ select {ENTITY}, {SKU} as sku, {s("n")} || '-' || {s("pkey")} || '-' || {s("slot
 from f_assort"""
 
 # Flat order items of curated orders.
+# The offset keeps amounts off exact half cents, which engines round differently.
+UNIT_DISCOUNT = "(case when disc > 0 then price * disc + 0.0001237e0 else 0e0 end)"
 FIXTURES["f_items"] = f"""
 select n, {ENTITY}, currency_code, order_id, order_date as order_created_date_lt,
   {WAREHOUSE} as warehouse_id, {VENDOR} as platform_vendor_id,
   slot % 3 <> 2 or n % 4 <> 0 as is_dark_store, status in ('F', 'O') as is_successful,
   status = 'P' as is_failed, okey % 29 = 0 as is_cancelled, {SKU} as sku,
   case when lno = 7 then cast(0 as double) else qty end as quantity_sold,
-  price as unit_price_listed_lc, price * disc as unit_discount_lc,
-  price - price * disc as unit_price_paid_lc, price * disc * qty as promo_items_discount_lc,
-  (price - price * disc) * qty as total_amt_paid_lc,
+  price as unit_price_listed_lc, {UNIT_DISCOUNT} as unit_discount_lc,
+  price - {UNIT_DISCOUNT} as unit_price_paid_lc, {UNIT_DISCOUNT} * qty as promo_items_discount_lc,
+  (price - {UNIT_DISCOUNT}) * qty as total_amt_paid_lc,
   case when pkey % 5 = 0 then null else cast(0.1 as double) * qty * (pkey % 4) end
     as promo_items_supplier_funded_lc,
   {LINE_CAMPAIGN} as campaign_id, price as product_unit_price_lc,
-  price * disc * qty as campaign_discount_amt_lc,
+  {UNIT_DISCOUNT} * qty as campaign_discount_amt_lc,
   cast(0.1 as double) * qty * (pkey % 4) as campaign_supplier_funded_amt_lc
 from f_sales"""
 
@@ -531,7 +533,8 @@ PROMO_HEAD = f"""order_date as created_date, order_at as created_at_utc, region,
 # Products of promo orders, one row per campaign of the product (or one without campaign).
 FIXTURES["f_promo_flat"] = f"""
 select {PROMO_HEAD}, {LINE_CAMPAIGN} as campaign_id, price * disc as discount_lc,
-  case when lno % 4 = 0 then null else cast(0.1 as double) * qty end as supplier_funded_amount,
+  case when lno % 4 <> 0 and {LINE_CAMPAIGN} is not null then cast(0.1 as double) * qty end
+    as supplier_funded_amount,
   cast(2 as double) as trigger_qty, cast(1 as double) as benefit_qty
 from f_sales
 union all

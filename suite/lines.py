@@ -15,7 +15,7 @@ from fundspark.operators.feeds import (
     renamed,
 )
 from fundspark.operators.nested import unfold
-from suite.model import FULL, Inputs, register, rounded, sql_rounded, text
+from suite.model import FULL, Inputs, near, register, rounded, sql_near, sql_rounded
 
 LINE = ["order_id", "picking_order_item_id"]
 LINE_SQL = "l.order_id, l.picking_order_item_id"
@@ -134,7 +134,7 @@ def history_join(table: str, alias: str, entity: str, where: str = "true") -> st
 @register(
     "vat_asof",
     f"""with {VAT_SQL} select {LINE_SQL},
-      round(coalesce(v.rate, l.vat_percentage), 6) as product_vat_rate
+      {sql_near('coalesce(v.rate, l.vat_percentage)', 6)} as product_vat_rate
     from f_lines_raw as l {history_join("vat", "v", "fulfilled_by_entity")}""",
 )
 def _(x):
@@ -147,8 +147,8 @@ LISTED = "coalesce(p.original_price_lc, l.unit_price_lc, 0)"
 
 @register(
     "price_asof",
-    f"""select {LINE_SQL}, round({LISTED}, 4) as unit_price_listed_lc,
-      round(coalesce(greatest({LISTED} - l.unit_price_paid_lc, 0), 0), 4) as unit_discount_lc
+    f"""select {LINE_SQL}, {sql_near(LISTED)} as unit_price_listed_lc,
+      {sql_near(f'coalesce(greatest({LISTED} - l.unit_price_paid_lc, 0), 0)')} as unit_discount_lc
     from f_lines_raw as l {history_join("f_price_history", "p", "fulfilled_by_entity")}""",
 )
 def _(x):
@@ -165,8 +165,8 @@ WAC_JOIN = """left join f_wac as c on c.global_entity_id = l.fulfilled_by_entity
     "cost_asof",
     f"""with {INTERVALS_SQL},
     placed as (select l.*, w.warehouse_id from f_lines_raw as l {STAY_JOIN})
-    select {LINE_SQL}, l.warehouse_id, round(c.wac, 4) as wac,
-      round(coalesce(c.wac, l.unit_price_lc), 4) as unit_cost_lc
+    select {LINE_SQL}, l.warehouse_id, {sql_near('c.wac')} as wac,
+      {sql_near('coalesce(c.wac, l.unit_price_lc)')} as unit_cost_lc
     from placed as l {WAC_JOIN}""",
 )
 def _(x):
@@ -260,9 +260,9 @@ FX_JOIN = """left join f_fx as fx on fx.currency_code = l.currency_code
 
 @register(
     "fx_convert",
-    f"""select {LINE_SQL}, round(l.unit_price_lc / fx.exchange_rate_value, 4) as unit_price_eur,
-      round(l.total_amt_paid_lc / fx.exchange_rate_value, 4) as total_amt_paid_eur,
-      round(fx.exchange_rate_value, 4) as fx_rate
+    f"""select {LINE_SQL}, {sql_near('l.unit_price_lc / fx.exchange_rate_value')} as unit_price_eur,
+      {sql_near('l.total_amt_paid_lc / fx.exchange_rate_value')} as total_amt_paid_eur,
+      {sql_near('fx.exchange_rate_value')} as fx_rate
     from f_lines_raw as l {FX_JOIN}""",
 )
 def _(x):
@@ -293,7 +293,7 @@ def economics_sql(funded_lc: str, funded_eur: str) -> str:
         "total_ppp_eur": f"""l.total_amt_paid_lc / l.fx_rate / {vat}
           - {cost} / l.fx_rate * l.quantity_delivered + coalesce({funded_eur}, 0)""",
     }
-    return ", ".join(f"round({sql}, 3) as {name}" for name, sql in parts.items())
+    return ", ".join(f"{sql_near(sql, 3)} as {name}" for name, sql in parts.items())
 
 
 @register(
@@ -334,7 +334,7 @@ TWO_KEY_JOIN = f"""left join f_line_campaigns as ca on {CAMPAIGN_ON.format(a="ca
     left join f_line_campaigns as cb on {CAMPAIGN_ON.format(a="cb")}
       and cb.platform_product_id = l.platform_product_id and ca.order_id is null"""
 TWO_KEY_AMOUNTS = ", ".join(
-    f"round(coalesce(ca.{c}, cb.{c}, 0), 4) as {c}" for c in ops.MATCH_AMOUNTS
+    f"{sql_near(f'coalesce(ca.{c}, cb.{c}, 0)')} as {c}" for c in ops.MATCH_AMOUNTS
 )
 
 
@@ -416,7 +416,7 @@ per_line as (
     "order_line_campaigns",
     f"""with {PROMO_SQL} select {", ".join(PROMO_KEYS)}, {sql_rounded(*PROMO_AMOUNTS)},
       element_count, coalesce(campaign_ids, '') as campaign_ids,
-      coalesce(combo_ids, '') as combo_ids, round(coalesce(element_funding, 0), 4)
+      coalesce(combo_ids, '') as combo_ids, {sql_near('coalesce(element_funding, 0)')}
         as element_funding from per_line""",
 )
 def _(x):
@@ -434,7 +434,7 @@ def _(x):
         F.size("campaign_info").cast("bigint").alias("element_count"),
         F.array_join(F.array_sort("campaign_info.campaign_id"), "|").alias("campaign_ids"),
         F.array_join(F.array_sort("combo_products.combo_product_id"), "|").alias("combo_ids"),
-        F.round(funding, 4).alias("element_funding"),
+        near(funding).alias("element_funding"),
     )
 
 
@@ -482,8 +482,7 @@ shown as (select l.*, listed as unit_price_listed_lc, listed / fx_rate as unit_p
     case when {KG_SQL} then 'KG' end as weight_unit
   from facts as l)
 select {", ".join("l." + c for c in CURATED_PLAIN)}, {economics_sql("first_lc", "first_eur")},
-  {", ".join(f"round(coalesce(l.{c}, 0), 4) as {c}" if c in ops.QUANTITIES
-             else f"round(l.{c}, 4) as {c}" for c in CURATED_AMOUNTS)}
+  {", ".join(f"{sql_near(f'coalesce(l.{c}, 0)' if c in ops.QUANTITIES else f'l.{c}')} as {c}" for c in CURATED_AMOUNTS)}
 from shown as l"""
 
 
@@ -518,7 +517,7 @@ def _(x):
 
 @register(
     "orders_nested_promos",
-    """with per_product as (
+    f"""with per_product as (
       select country_code, order_id, product_id, parent_product_id, count(*) as campaign_count,
         sum(discount) as discount, string_agg(campaign_id, '|' order by campaign_id) as ids
       from f_cart_campaigns group by all),
@@ -531,11 +530,11 @@ def _(x):
       from listed group by all)
     select o.country_code, o.order_id as promo_order_id, o.platform_order_code as order_id,
       coalesce(f.any_campaign, false) as order_has_campaigns, fx.currency_code,
-      round(fx.exchange_rate_value, 4) as exchange_rate_value, i.product_id, i.parent_product_id,
-      round(i.total, 4) as total, case when i.order_id is not null
+      {sql_near('fx.exchange_rate_value')} as exchange_rate_value, i.product_id, i.parent_product_id,
+      {sql_near('i.total')} as total, case when i.order_id is not null
         then i.campaign_count is not null end as product_has_campaigns,
       coalesce(i.campaign_count, 0) as campaign_count, coalesce(i.ids, '') as campaign_ids,
-      round(coalesce(i.discount, 0), 4) as campaign_discount
+      {sql_near('coalesce(i.discount, 0)')} as campaign_discount
     from f_cart_orders as o
       left join flags as f on f.country_code = o.country_code and f.order_id = o.order_id
       left join listed as i on i.country_code = o.country_code and i.order_id = o.order_id
@@ -571,7 +570,7 @@ def _(x):
         F.coalesce(
             F.array_join(F.array_sort("campaigns.campaign_id"), "|"), F.lit("")
         ).alias("campaign_ids"),
-        F.round(total, 4).alias("campaign_discount"),
+        near(total).alias("campaign_discount"),
     )
 
 
@@ -616,15 +615,15 @@ def order_item_rows(x: Inputs):
 
 @register(
     "orders_curated",
-    """select o.global_entity_id, o.order_id, o.order_date as order_created_date_lt,
+    f"""select o.global_entity_id, o.order_id, o.order_date as order_created_date_lt,
       r.customer_qc_order_rank,
       coalesce(r.is_acquisition_qcommerce, false) as is_acquisition_qcommerce,
       coalesce(r.is_acquisition_darkstore, false) as is_acquisition_darkstore,
       coalesce(r.is_acquisition_localshop, false) as is_acquisition_localshop,
-      round(o.total / 200, 4) as amt_gmv_eur, round(o.total * 21 / 100, 4) as amt_cogs_lc,
-      round(o.total / 3, 4) as checkout_total_lc, l.sku, l.quantity_sold,
-      round(l.unit_price_lc / 3, 4) as unit_price_paid_eur,
-      round(l.unit_price_lc * 9, 4) as item_cogs_lc
+      {sql_near('o.total / 200')} as amt_gmv_eur, {sql_near('o.total * 21 / 100')} as amt_cogs_lc,
+      {sql_near('o.total / 3')} as checkout_total_lc, l.sku, l.quantity_sold,
+      {sql_near('l.unit_price_lc / 3')} as unit_price_paid_eur,
+      {sql_near('l.unit_price_lc * 9')} as item_cogs_lc
     from f_order_heads as o
       left join f_lines_raw as l on l.global_entity_id = o.global_entity_id
         and l.order_id = o.order_id
@@ -637,7 +636,7 @@ def _(x):
             *order_ops.ACQUISITION_FLAGS]
 
     def amount(path: str, name: str):
-        return F.round(F.col(path).cast("double"), 4).alias(name)
+        return near(F.col(path)).alias(name)
 
     parent = curated.select(
         *head,

@@ -210,8 +210,20 @@ def text(*names: str) -> list:
     return [F.col(n).cast("string").alias(n) for n in names]
 
 
+# Moves values off exact halves, which the two engines round differently.
+OFF_HALF = 1.37e-7
+
+
+def near(col, digits: int = 4):
+    return F.round(col.cast("double") + OFF_HALF, digits)
+
+
 def rounded(*names: str, digits: int = 4) -> list:
-    return [F.round(F.col(n).cast("double"), digits).alias(n) for n in names]
+    return [near(F.col(n), digits).alias(n) for n in names]
+
+
+def sql_near(expr: str, digits: int = 4) -> str:
+    return f"round(cast({expr} as double) + {OFF_HALF}, {digits})"
 
 
 def sql_text(*names: str, prefix: str = "") -> str:
@@ -219,7 +231,7 @@ def sql_text(*names: str, prefix: str = "") -> str:
 
 
 def sql_rounded(*names: str, prefix: str = "", digits: int = 4) -> str:
-    return ", ".join(f"round(cast({prefix}{n} as double), {digits}) as {n}" for n in names)
+    return ", ".join(f"{sql_near(prefix + n, digits)} as {n}" for n in names)
 
 
 HEADER_TIMES = [c for c in HEADER if c.endswith("_at_utc")]
