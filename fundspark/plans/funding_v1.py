@@ -21,6 +21,7 @@ from fundspark.operators.catalog import (
     product_supplier_master,
     supplier_per_warehouse,
 )
+from fundspark.operators.lineage import materialise
 from fundspark.operators.nested import PART, sorted_list
 from fundspark.operators.order_items import is_completed, sold_items
 from fundspark.operators.skew import bounded_join, with_document_part
@@ -147,7 +148,8 @@ def supplier_statement(sku_rows: DataFrame, rollup: DataFrame, ctx: RunContext)
         "global_entity_id", "country_code", *CAMPAIGN_FIELDS, F.col(PART).alias("__child_part")
     )
     joined = per_campaign.join(campaigns, ["global_entity_id", "country_code", "root_id"])
-    skus = F.when(F.col("__child_part") == 0, F.col("skus")).otherwise(F.filter("skus", lambda _: F.lit(False)))
+    none = F.filter("skus", lambda _: F.lit(False))
+    skus = F.when(F.col("__child_part") == 0, F.col("skus")).otherwise(none)
     campaign = F.struct(*CAMPAIGN_FIELDS, skus.alias("skus"))
     return joined.groupBy(*SUPPLIER, PART).agg(sorted_list(campaign).alias("campaigns")).select(
         *SUPPLIER,
@@ -169,18 +171,20 @@ class FundingV1Inputs:
 
 
 def run_funding_v1(inputs: FundingV1Inputs, ctx: RunContext) -> dict[str, DataFrame]:
-    """All tables of one run, lazily, by name."""
+    """All tables of one run, by name. Each is written before the next step reads it."""
     eligible = eligible_campaigns(inputs.campaigns, inputs.entities, ctx)
-    rollup = campaign_version_rollup(eligible, ctx)
+    rollup = materialise(campaign_version_rollup(eligible, ctx), "concluded_campaigns")
     latest = catalog_latest_by_vendor(inputs.catalog, inputs.entities)
     dc = dc_mapping(inputs.replenishment, inputs.product_suppliers)
     suppliers = supplier_per_warehouse(inputs.product_suppliers, dc, inputs.entities)
-    master = product_supplier_master(latest, preferred_supplier(suppliers), inputs.crm)
+    master = materialise(
+        product_supplier_master(latest, preferred_supplier(suppliers), inputs.crm), "products"
+    )
     lines = funded_order_lines(
         inputs.orders, campaign_versions_flat(rollup), inputs.entities, ctx
     )
-    enriched = funded_lines_enriched(lines, master)
-    sku_rows = sku_supplier_funding(enriched, ctx)
+    enriched = materialise(funded_lines_enriched(lines, master), "funded_lines")
+    sku_rows = materialise(sku_supplier_funding(enriched, ctx), "sku_funding")
     return {
         "campaigns": rollup,
         "products": master,
