@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from fundspark.context import build_session  # noqa: E402
 from suite import QUERIES  # noqa: E402
-from suite.fixtures import FIXTURES  # noqa: E402
+from suite.fixtures import BASE, FIXTURES  # noqa: E402
 from suite.model import Inputs  # noqa: E402
 
 HEADLINE = [
@@ -33,7 +33,8 @@ HEADLINE = [
 
 def derive(spark, sf_dir: str, store: str) -> None:
     """Write every derived table once; later ones read the earlier ones."""
-    Inputs(spark, sf_dir)
+    for table in BASE:
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     for name, sql in FIXTURES.items():
         spark.sql(sql).write.parquet(f"{store}/{name}")
         spark.read.parquet(f"{store}/{name}").createOrReplaceTempView(name)

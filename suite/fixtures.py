@@ -586,6 +586,10 @@ from f_order_heads where status in ('F', 'P')"""
 _NAME = re.compile(r"\bf_[a-z_]+\b")
 
 
+def direct_inputs(sql: str) -> list[str]:
+    return sorted({name for name in _NAME.findall(sql) if name in FIXTURES})
+
+
 def needed(sql: str) -> list[str]:
     """Fixture tables a text refers to, dependencies first."""
     ordered: list[str] = []

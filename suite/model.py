@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fundspark.context import RunContext
 from fundspark.operators.campaigns import HEADER
-from suite.fixtures import BASE, with_fixtures
+from suite.fixtures import BASE, FIXTURES, direct_inputs, with_fixtures
 
 # The whole history in one run.
 FULL = RunContext(
@@ -38,37 +39,60 @@ MONTHLY = RunContext(
 )
 
 
+# Derived tables that many others start from: computed once per session, spilling to disk.
+SHARED = {
+    "f_sales", "f_order_heads", "f_pair", "f_assort", "f_slots", "f_offer", "f_campaign_keys",
+    "f_campaign_slots", "f_master", "f_fx", "f_crm", "f_suppliers_flat", "f_external",
+}
+_DERIVED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Inputs:
     """Test tables of one scale, by name. ``store`` is a folder of already derived tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, store: str | None = None):
         self.spark, self.sf_dir, self.store = spark, sf_dir.rstrip("/"), store
-        if store is None:
-            for table in BASE:
-                self.base(table).createOrReplaceTempView(table)
 
     def base(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
+    def _once(self, name: str, build: Callable[[], DataFrame], keep: bool) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _DERIVED:
+            df = build()
+            _DERIVED[key] = df.cache() if keep else df
+        return _DERIVED[key]
+
     def __call__(self, name: str) -> DataFrame:
         if self.store:
             return self.spark.read.parquet(f"{self.store}/{name}")
-        return self.spark.sql(with_fixtures(f"select * from {name}"))
+        return self._once(name, lambda: self._derive(name), name in SHARED)
 
-    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return self.spark.read.parquet(f"{self.store}/{name}") if self.store else build()
+    def _derive(self, name: str) -> DataFrame:
+        sql = FIXTURES[name]
+        for table in BASE:
+            if re.search(rf"\b{table}\b", sql):
+                self.base(table).createOrReplaceTempView(table)
+        for table in direct_inputs(sql):
+            self(table).createOrReplaceTempView(table)
+        return self.spark.sql(sql)
+
+    def _document(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if self.store:
+            return self.spark.read.parquet(f"{self.store}/{name}")
+        return self._once(name, build, True)
 
     @cached_property
     def catalog(self) -> DataFrame:
-        return self._stored("catalog", self.build_catalog)
+        return self._document("catalog", self.build_catalog)
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self._stored("orders", self.build_orders)
+        return self._document("orders", self.build_orders)
 
     @cached_property
     def promo_orders(self) -> DataFrame:
-        return self._stored("promo_orders", self.build_promo_orders)
+        return self._document("promo_orders", self.build_promo_orders)
 
     @cached_property
     def entities(self) -> DataFrame:
