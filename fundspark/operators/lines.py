@@ -18,9 +18,11 @@ from fundspark.operators.skew import all_of, bounded_join
 from fundspark.operators.temporal import (
     OPEN_END,
     OPEN_START,
+    SLICE,
     asof_join,
     scd2_from_events,
     with_neighbour,
+    with_time_slice,
 )
 
 QUANTITIES = [
@@ -262,10 +264,13 @@ def attribute_changes(log: DataFrame, ctx: RunContext) -> DataFrame:
 def attribute_asof(lines: DataFrame, log: DataFrame, ctx: RunContext) -> DataFrame:
     """The four weight attributes in force at order time.
 
-    All four joins use one key, so lines are shuffled for the first one only, and the cleaned
-    log is shuffled once and reused.
+    All four joins use one key, so lines are shuffled for the first one only. The field is part
+    of the key the log is cleaned on, so each history cleans its own share of the log.
     """
     changes = attribute_changes(log, ctx)
+    kept = lines.columns
+    if SLICE not in kept:
+        lines = with_time_slice(lines, ORDER_TIME, **_asof(ctx))
     for out, (field, kind) in ATTRIBUTES.items():
         value = F.col("updated_value")
         typed = value.try_cast(kind) if field in LENIENT_FIELDS else value.cast(kind)
@@ -273,7 +278,7 @@ def attribute_asof(lines: DataFrame, log: DataFrame, ctx: RunContext) -> DataFra
         lines = asof_join(
             lines, history, SOLD_PRODUCT, ORDER_TIME, values={out: "__value"}, **_asof(ctx)
         )
-    return lines
+    return lines.select(*kept, *ATTRIBUTES)
 
 
 def weight_fields(lines: DataFrame) -> DataFrame:
@@ -590,6 +595,7 @@ def order_lines_curated(
         dated = dated.where(F.col("order_created_date_utc").between(*map(F.lit, kept)))
     last_day = stream[1] - timedelta(days=1) if stream is not None else None
 
+    dated = with_time_slice(dated, ORDER_TIME, **_asof(ctx))
     out = resolve_ids(dated, sku_history, catalog, ctx)
     if ctx.weight_step_entity:
         steps = weight_step(catalog, ctx)

@@ -70,6 +70,28 @@ def scd2_from_events(
     return with_next.withColumn(valid_to, F.coalesce(valid_to, F.lit(open_end)))
 
 
+SLICE = "__time_slice"
+
+
+def time_slice(col: Column, bounds: tuple[date, date], bucket_days: int) -> Column:
+    """Number of the slice a time lies in, limited to the slices of the bounds."""
+    low, high = ((d - date(1970, 1, 1)).days // bucket_days for d in bounds)
+    number = F.floor(F.unix_date(F.to_date(col)) / bucket_days).cast("int")
+    return F.when(col.isNotNull(), F.greatest(F.least(number, F.lit(high)), F.lit(low)))
+
+
+def with_time_slice(
+    facts: DataFrame, ts: str, bounds: tuple[date, date] | None, bucket_days: int | None
+) -> DataFrame:
+    """Add the slice column that ``asof_join`` uses as a key part.
+
+    Facts that carry it through several joins on the same key are shuffled once for all of them.
+    """
+    if bounds is None or not bucket_days:
+        return facts
+    return facts.withColumn(SLICE, time_slice(F.col(ts), bounds, bucket_days))
+
+
 def asof_join(
     facts: DataFrame,
     history: DataFrame,
@@ -99,21 +121,18 @@ def asof_join(
         F.col(valid_to).alias("__to"),
         *[F.col(c).alias(name) for name, c in values.items()],
     )
-    conditions = [facts[c] == hist[f"__k{i}"] for i, c in enumerate(on)]
     lhs = facts
-    if bounds is not None and bucket_days:
-        low, high = ((d - date(1970, 1, 1)).days // bucket_days for d in bounds)
-
-        def bucket(col: Column) -> Column:
-            number = F.floor(F.unix_date(F.to_date(col)) / bucket_days).cast("int")
-            return F.greatest(F.least(number, F.lit(high)), F.lit(low))
-
-        lhs = facts.withColumn("__bucket", F.when(F.col(ts).isNotNull(), bucket(F.col(ts))))
+    sliced = bounds is not None and bool(bucket_days)
+    if sliced:
+        if SLICE not in facts.columns:
+            lhs = with_time_slice(facts, ts, bounds, bucket_days)
+        first, last = (time_slice(F.col(c), bounds, bucket_days) for c in ("__from", "__to"))
         hist = hist.where(F.col("__from") <= F.col("__to")).withColumn(
-            "__slot", F.explode(F.sequence(bucket(F.col("__from")), bucket(F.col("__to"))))
+            "__slot", F.explode(F.sequence(first, last))
         )
-        conditions = [lhs[c] == hist[f"__k{i}"] for i, c in enumerate(on)]
-        conditions.append(lhs["__bucket"] == hist["__slot"])
+    conditions = [lhs[c] == hist[f"__k{i}"] for i, c in enumerate(on)]
+    if sliced:
+        conditions.append(lhs[SLICE] == hist["__slot"])
     upper = hist["__to"] >= lhs[ts] if closed == "both" else hist["__to"] > lhs[ts]
     joined = lhs.join(hist, all_of([*conditions, hist["__from"] <= lhs[ts], upper]), "left")
     return joined.select(*[lhs[c] for c in facts.columns], *[hist[name] for name in values])
