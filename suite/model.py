@@ -60,7 +60,9 @@ class Inputs:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _DERIVED:
             df = build()
-            _DERIVED[key] = df.cache() if keep else df
+            if keep:
+                df = df.repartition(self.spark.sparkContext.defaultParallelism).cache()
+            _DERIVED[key] = df
         return _DERIVED[key]
 
     def __call__(self, name: str) -> DataFrame:
