@@ -23,9 +23,9 @@ from suite.model import Inputs  # noqa: E402
 
 HEADLINE = [
     "run_partitions", "merge_sources_orders", "merge_sources_items", "campaigns_clean",
-    "benefits_merge", "campaigns_nested", "catalog_nested", "product_supplier_master",
-    "order_line_campaigns", "orders_nested_promos", "order_lines_curated", "orders_curated",
-    "supplier_statement", "campaigns_utilised", "match_funding", "order_funding", "billing",
+    "benefits_merge", "campaigns_nested", "order_line_campaigns", "orders_nested_promos",
+    "vat_asof", "supplier_statement", "campaigns_utilised", "match_funding", "order_funding",
+    "billing",
 ]
 
 

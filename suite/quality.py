@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-from datetime import date
+import uuid
 
 from pyspark.sql import functions as F
 
-from fundspark.operators import feeds
+from fundspark.operators.lineage import shared_folder
 from fundspark.operators.quality import (
     no_duplicates,
     no_nulls,
@@ -15,7 +14,8 @@ from fundspark.operators.quality import (
     unique_by_concat,
 )
 from fundspark.sources.tables import shared_view
-from suite.model import Inputs, register
+from fundspark.streaming.refresh import read_refreshed, refresh_partitions
+from suite.model import register
 
 NULL_COLUMNS = ["country_code", "order_item_id", "parent_product_id", "subtotal"]
 
@@ -65,3 +65,19 @@ def _(x):
 def _(x):
     columns = ["country_code", "campaign_id", "campaign_name", "state"]
     return shared_view(x("f_campaigns"), columns, ["PY_N0", "EF_AT"])
+
+
+@register(
+    "refresh_partitions",
+    """select order_id, cast(date_trunc('month', order_date) as date) as order_month,
+      case when date_trunc('month', order_date) = date '1998-05-01' then 2 else 1 end as load_no
+    from f_order_heads""",
+)
+def _(x):
+    month = F.trunc("order_date", "month").alias("order_month")
+    rows = x("f_order_heads").select("order_id", month)
+    path = f"{shared_folder(x.spark)}/refresh-{uuid.uuid4().hex}"
+    refresh_partitions(rows.withColumn("load_no", F.lit(1)), path, "order_month")
+    may = rows.where(F.col("order_month") == "1998-05-01")
+    refresh_partitions(may.withColumn("load_no", F.lit(2)), path, "order_month")
+    return read_refreshed(x.spark, path).select("order_id", "order_month", "load_no")
