@@ -56,7 +56,7 @@ class RunContext:
     # The one entity whose quantities are sold in weight steps.
     weight_step_entity: str | None = None
     # Width of the time slices that as-of joins add to their key.
-    asof_bucket_days: int = 180
+    asof_bucket_days: int = 365
     match_bucket_days: int = 64
     # Longest array in one nested document; longer groups continue in further parts.
     max_elements: int = 100_000
