@@ -15,15 +15,15 @@ with recursive words as (
 ), grams as (
   select distinct doc_id, unnest(case
     when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) end) as g
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as g
   from words
 ), sizes as (select doc_id, count(*) as n from grams group by doc_id
 ), pairs as (
-  select x.doc_id as a, y.doc_id as b, count(*) as both
+  select x.doc_id as a, y.doc_id as b, count(*) as shared
   from grams x join grams y on x.g = y.g and x.doc_id < y.doc_id group by all
 ), links as (
   select a, b from pairs join sizes sa on sa.doc_id = a join sizes sb on sb.doc_id = b
-  where 100 * both >= 80 * (sa.n + sb.n - both)
+  where 100 * shared >= 80 * (sa.n + sb.n - shared)
 ), edges as (select a, b from links union all select b, a from links
 ), reach(a, b) as (
   select doc_id, doc_id from documents
@@ -35,12 +35,12 @@ from documents d join roots r using (doc_id) left join sizes s using (doc_id)
 
 TOP_PRODUCTS = """
 with vectors as (
-  select vec_id, list_transform(embedding, x -> cast(floor(1024 * cast(x as double)) as bigint)) as v
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
   from embeddings where embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
   select q.vec_id as query_id, c.vec_id,
-    cast(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) as bigint) as score
+    cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
   from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
   where q.vec_id % 100 = 0
 ), ranked as (
@@ -63,7 +63,7 @@ def _license_sql() -> str:
 with words as (
   select doc_id, regexp_extract_all({_ASCII_LOWER.format("text")},
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents
-), grams(template, label, grams, at, g) as (values {", ".join(grams)}
+), grams(template, label, grams, place, g) as (values {", ".join(grams)}
 ), phrases(phrase, k, label) as (values {", ".join(phrases)}
 ), starts as (select doc_id, w, unnest(range(1, len(w) + 1)) as i from words
 ), places as (
@@ -73,16 +73,16 @@ with words as (
   select doc_id, count(*) as n_base, min(start) as first_word, max(start) as last_word,
     list_sort(list_distinct(list(label))) as labels from places group by doc_id
 ), hits as (
-  select doc_id, template, label, grams, at, i - 1 - at as diagonal
+  select doc_id, template, label, grams, place, i - 1 - place as diagonal
   from starts join grams on array_to_string(w[i:i + {GRAM} - 1], ' ') = g and i + {GRAM} - 1 <= len(w)
 ), opened as (
   select *, case when diagonal - lag(diagonal) over o <= {NEIGHBOUR} then 0 else 1 end as opens
   from hits window o as (partition by doc_id, template order by diagonal)
 ), numbered as (
   select *, sum(opens) over (partition by doc_id, template order by diagonal
-    rows between unbounded preceding and current row) as span from opened
+    range between unbounded preceding and current row) as span from opened
 ), spans as (
-  select doc_id, label, count(distinct at) / any_value(grams) as cover from numbered
+  select doc_id, label, count(distinct place) / any_value(grams) as cover from numbered
   group by doc_id, template, label, span
 ), found as (
   select doc_id, list(distinct label) as labels, max(cover) as cover from spans
@@ -105,8 +105,8 @@ with payloads as (
   select h, payload_bytes, max(page_id) as keeper from payloads group by all
 )
 select page_id, cast(payload_bytes as bigint) as payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + (
-    cast('0x' || substr(h, cast(1 + 5 * (i // 4) as int), 5) as int) >> (15 - 5 * (i % 4))) & 31 as int), 1)), '')
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((
+    cast('0x' || substr(h, cast(1 + 5 * (i // 4) as int), 5) as int) >> (15 - 5 * (i % 4))) & 31) as int), 1)), '')
     as payload_digest,
   case when page_id = keeper then 'response' else 'revisit' end as record_type,
   case when page_id <> keeper then keeper end as refers_to
