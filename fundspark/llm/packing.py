@@ -12,9 +12,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -23,56 +27,81 @@ from pyspark.sql import functions as F
 
 from fundspark.operators.lineage import materialise
 
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
+TEXTS_AT_ONCE = 512
 # Characters for which splitting at white space first cannot change the tokens: composed Latin
 # letters, ASCII, and the three white spaces. Other texts go to the tokenizer whole.
-_OTHER = re.compile("[^\t\n\r -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]|<\\|")
+_OTHER = re.compile("[^\t\n\r -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]")
+# What the tokenizer makes pieces of within a word of such characters.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class Encoder:
-    """Token ids of whole texts, as little-endian bytes; words are encoded once and remembered."""
+    """Token ids of whole texts, as little-endian bytes; words are encoded once and remembered.
+
+    Only for a tokenizer that drops white space and lower-cases, whose pieces never cross a white
+    space; any other one gets all texts whole.
+    """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        normalizer = json.loads(tokenizer_json).get("normalizer") or {}
+        layout = json.loads(tokenizer_json)
+        normalizer = layout.get("normalizer") or {}
         steps = {x.get("type") for x in normalizer.get("normalizers", [normalizer])}
-        # Only a tokenizer that drops white space and lower-cases works word by word.
-        self.by_word = {"Replace", "Lowercase"} <= steps
-        self.known: dict[str, bytes] = {}
+        splits = str((layout.get("pre_tokenizer") or {}).get("pretokenizers", ""))
+        self.by_word = {"Replace", "Lowercase"} <= steps and "[^\\\\s\\\\p{L}\\\\p{N}]+" in splits
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_word or _OTHER.search(text):
-            return self.whole(text)
-        words = text.lower().split()
-        known = self.known
-        missing = [word for word in set(words) if word not in known]
-        if missing:
-            if len(known) > WORDS_KEPT:
-                known.clear()
-                missing = list(set(words))
-            found = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-            for word, encoding in zip(missing, found, strict=True):
-                known[word] = np.array(encoding.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, lists: list[list[str]]) -> None:
+        words, pieces = self.words, self.pieces
+        fresh = set().union(*lists)
+        if len(words) + len(fresh) > WORDS_KEPT:
+            words.clear()
+            pieces.clear()
+        fresh.difference_update(words)
+        split = {word: _PIECE.findall(word) for word in fresh}
+        missing = list(set(chain.from_iterable(split.values())).difference(pieces))
+        found = self.tokenizer.encode_batch(missing, add_special_tokens=False)
+        for piece, encoding in zip(missing, found, strict=True):
+            pieces[piece] = array("I", encoding.ids).tobytes()
+        for word, parts in split.items():
+            words[word] = b"".join(map(pieces.__getitem__, parts))
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        for start in range(0, len(texts), TEXTS_AT_ONCE):
+            block = [text or "" for text in texts[start : start + TEXTS_AT_ONCE]]
+            plain = [self.by_word and "<|" not in x and not _OTHER.search(x) for x in block]
+            lists = [x.lower().split() if fast else [] for x, fast in zip(block, plain, strict=True)]
+            self._learn(lists)
+            known = self.words.__getitem__
+            for text, fast, words in zip(block, plain, lists, strict=True):
+                yield b"".join(map(known, words)) if fast else self.whole(text)
+
+
+def worker_encoder(tokenizer_json: str) -> Encoder:
+    """One encoder per Python worker: it serves many tasks and keeps what it has learned."""
+    holder = sys.modules.setdefault("_worker_encoders", ModuleType("_worker_encoders"))
+    key = zlib.crc32(tokenizer_json.encode())
+    if key not in vars(holder).setdefault("known", {}):
+        holder.known[key] = Encoder(tokenizer_json)
+    return holder.known[key]
 
 
 def _pieces(tokenizer_json: str, capacity: int, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = Encoder(tokenizer_json), np.array([end_id], "<u4").tobytes()
+        encode, end = worker_encoder(tokenizer_json), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["id"], batch["text"], strict=True):
-                ids = encode(text) + end
+            for doc_id, ids in zip(batch["id"], encode(batch["text"].tolist()), strict=True):
+                ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
