@@ -51,15 +51,13 @@ class RunContext:
     # Campaign names matching the pattern are left out, for that entity only.
     name_exclusion_entity: str | None = None
     name_exclusion_pattern: str | None = None
-    # Product and price versions that started earlier are ignored.
-    history_start: date = date(2019, 1, 1)
+    # Product and price versions that started earlier are ignored, if a run asks for it.
+    history_start: date | None = None
     # The one entity whose quantities are sold in weight steps.
     weight_step_entity: str | None = None
     # Width of the time slices that as-of joins add to their key.
     asof_bucket_days: int = 365
     match_bucket_days: int = 64
-    # Longest array in one nested document; longer groups continue in further parts.
-    max_elements: int = 100_000
 
     @property
     def window(self) -> tuple[date, date]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fundspark.context import RunContext
 from fundspark.functions.money import NUMERIC
 from fundspark.operators.dedup import first_per_key, latest_per_key, newest_first, tie_break
-from fundspark.operators.nested import PART, fold, unfold
+from fundspark.operators.nested import fold, unfold
 from fundspark.operators.skew import bounded_join
 from fundspark.sources.schemas import CHAIN_PRODUCT_FIELDS, VENDOR_PRODUCT_FIELDS
 
@@ -120,7 +120,6 @@ def catalog_nested(
         "vendor_products",
         F.struct(*VENDOR_PRODUCT_FIELDS, created_by),
         split_on=["catalog_vendor_product_id", "warehouse_id"],
-        max_elements=ctx.max_elements,
     )
     flags = vendor_products.groupBy(*CHAIN_KEYS).agg(
         F.bool_or("has_own_brand_category").alias("has_own_brand_category")
@@ -140,7 +139,6 @@ def catalog_nested(
         F.coalesce("brand_name_english", "brand_name_local").alias("brand_name"),
         F.coalesce("__in", F.lit(False)).alias("is_chain_from_dark_store"),
         own_brand.alias("is_own_brand_product"),
-        F.coalesce(PART, F.lit(0)).alias(PART),
         "vendor_products",
     )
 

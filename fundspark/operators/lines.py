@@ -33,6 +33,13 @@ ORDER_TIME = "order_created_at_utc"
 CATALOG_OPEN_END = datetime(2099, 12, 31, 23, 59, 59)
 
 
+def _since(history: DataFrame, valid_from: str, ctx: RunContext) -> DataFrame:
+    """Versions that started on or after ``ctx.history_start``; all without one."""
+    if ctx.history_start is None:
+        return history
+    return history.where(F.to_date(valid_from) >= F.lit(ctx.history_start))
+
+
 def _asof(ctx: RunContext) -> dict:
     return {"bounds": ctx.asof_bounds, "bucket_days": ctx.asof_bucket_days}
 
@@ -72,7 +79,7 @@ def resolve_ids(
     )
     both = asof_join(
         from_catalog,
-        sku_history.where(F.to_date("valid_from_utc") >= F.lit(ctx.history_start)),
+        _since(sku_history, "valid_from_utc", ctx),
         {c: c for c in ("global_entity_id", "platform_product_id", "platform_vendor_id")},
         ORDER_TIME,
         values={f"__h_{c}": c for c in ids},
@@ -186,7 +193,7 @@ def vat_asof(lines: DataFrame, intervals: DataFrame, ctx: RunContext) -> DataFra
 
 def price_asof(lines: DataFrame, history: DataFrame, ctx: RunContext) -> DataFrame:
     """Listed price at order time (history, unit price, 0) and the discount against it."""
-    known = history.where(F.to_date("valid_from_lt") >= F.lit(ctx.history_start))
+    known = _since(history, "valid_from_lt", ctx)
     return price_columns(
         asof_join(
             lines, known, FULFILLED_PRODUCT, ORDER_TIME,

@@ -7,9 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundspark.operators.skew import with_document_part
-
-PART = "document_part"
+# Sub-groups a group is collected in before its arrays are put together.
+SPREAD = 32
 
 
 def sorted_list(element: Column) -> Column:
@@ -17,34 +16,31 @@ def sorted_list(element: Column) -> Column:
     return F.sort_array(F.collect_list(element))
 
 
-def fold(
-    rows: DataFrame,
-    keys: Sequence[str],
-    out: str,
-    element: Column,
-    *,
-    split_on: Sequence[str],
-    max_elements: int,
-    extra: Sequence[Column] = (),
-) -> DataFrame:
-    """One document per key with the array ``out``.
+def _collected(rows: DataFrame, keys: Sequence[str], split_on: Column, arrays: Mapping[str, Column]):
+    """One row per key with sorted arrays, collected in two steps.
 
-    A group longer than max_elements becomes several documents numbered by ``document_part``,
-    each with its share of the elements, so no task ever holds a whole oversized group. Unfolding
-    gives the same rows either way; attributes of the parent are read from part 0.
+    The elements of a group meet first in ``SPREAD`` sub-groups chosen by a hash of their identity;
+    only finished partial arrays come together per key. A long group costs no task more than the
+    document it becomes.
     """
-    parts = with_document_part(rows, keys, split_on, max_elements)
-    return parts.groupBy(*keys, PART).agg(sorted_list(element).alias(out), *extra)
+    part = F.pmod(F.xxhash64(split_on), F.lit(SPREAD)).alias("__part")
+    partial = rows.groupBy(*keys, part).agg(*[F.collect_list(e).alias(n) for n, e in arrays.items()])
+    return partial.groupBy(*keys).agg(
+        *[F.sort_array(F.flatten(F.collect_list(n))).alias(n) for n in arrays]
+    )
+
+
+def fold(
+    rows: DataFrame, keys: Sequence[str], out: str, element: Column, *, split_on: Sequence[str]
+) -> DataFrame:
+    """One document per key with the array ``out``; ``split_on`` is the identity of an element."""
+    return _collected(rows, keys, F.struct(*split_on), {out: element})
 
 
 def fold_many(
-    children: Mapping[str, tuple[DataFrame, Sequence[str]]],
-    keys: Sequence[str],
-    *,
-    split_on: str,
-    max_elements: int,
+    children: Mapping[str, tuple[DataFrame, Sequence[str]]], keys: Sequence[str], *, split_on: str
 ) -> DataFrame:
-    """Fold several child tables of the same parent in one shuffle.
+    """Fold several child tables of the same parent together.
 
     ``children`` maps the array name to (rows, element columns). The tables are stacked, each
     row carrying one struct, and grouped once, instead of one grouping and one join per table.
@@ -58,10 +54,7 @@ def fold_many(
         stacked = (
             layer if stacked is None else stacked.unionByName(layer, allowMissingColumns=True)
         )
-    parts = with_document_part(stacked, keys, ["__id"], max_elements)
-    return parts.groupBy(*keys, PART).agg(
-        *[sorted_list(F.col(f"__{name}")).alias(name) for name in children]
-    )
+    return _collected(stacked, keys, F.col("__id"), {name: F.col(f"__{name}") for name in children})
 
 
 def unfold(

@@ -12,8 +12,8 @@ SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when df has at most max_rows rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when df has at most max_rows rows; every task sends one number."""
+    return df.count() <= max_rows
 
 
 def bounded_join(
@@ -65,36 +65,5 @@ def lookup_join(
     return joined.select(*[lhs[c] for c in left.columns], *[rhs[c] for c in values])
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], max_elements: int) -> DataFrame:
-    """Keys with more than max_elements rows and the number of parts each must be cut into.
-
-    Reads the key columns only and counts map-side first.
-    """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    parts = F.ceil(F.col("__n") / max_elements).cast("int").alias("__parts")
-    return sizes.where(F.col("__n") > max_elements).select(*keys, parts)
-
-
-def with_document_part(
-    rows: DataFrame, keys: Sequence[str], split_on: Sequence[str], max_elements: int
-) -> DataFrame:
-    """Add ``document_part``: 0 for every ordinary group, 0..n-1 inside a group that is too long.
-
-    The probe is one pass over the key columns. Without a hot key nothing is added to the plan
-    but a literal. The part is a hash of ``split_on``, the identity of an element, so it is the
-    same when a lost task is run again.
-    """
-    hot = hot_keys(rows, keys, max_elements)
-    if hot.isEmpty():
-        return rows.withColumn("document_part", F.lit(0))
-    hot = hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], "__parts")
-    condition = all_of([rows[k].eqNullSafe(hot[f"__h{i}"]) for i, k in enumerate(keys)])
-    few = is_small(hot, 100_000)
-    flagged = rows.join(F.broadcast(hot) if few else hot, condition, "left")
-    flagged = flagged.select(*[rows[c] for c in rows.columns], hot["__parts"])
-    part = F.pmod(F.xxhash64(*split_on), F.coalesce("__parts", F.lit(1))).cast("int")
-    return flagged.withColumn("document_part", part).drop("__parts")
-
-
 def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)

@@ -22,9 +22,9 @@ from fundspark.operators.catalog import (
     supplier_per_warehouse,
 )
 from fundspark.operators.lineage import materialise
-from fundspark.operators.nested import PART, sorted_list
+from fundspark.operators.nested import fold
 from fundspark.operators.order_items import is_completed, sold_items
-from fundspark.operators.skew import bounded_join, with_document_part
+from fundspark.operators.skew import bounded_join
 
 
 def funded_order_lines(
@@ -127,36 +127,23 @@ CAMPAIGN_FIELDS = [
 
 
 def supplier_statement(sku_rows: DataFrame, rollup: DataFrame, ctx: RunContext) -> DataFrame:
-    """One statement per supplier: campaigns[], each with its skus[].
-
-    A supplier with very many SKU rows gets several statement parts. Where a campaign's children
-    continue in a further part, that element carries the children and no SKUs again.
-    """
+    """One statement per supplier: campaigns[], each with its skus[]."""
     start, end = ctx.window
     in_window = sku_rows.where(
         F.col("campaign_concluded_date_utc").between(F.lit(start), F.lit(end))
     )
     per_unit = F.try_divide("supplier_funded_amount_lc", "quantity_sold")
     element = F.struct(*SKU_FIELDS, per_unit.alias("unit_supplier_funded_amount_lc"))
-    parts = with_document_part(in_window, SUPPLIER, ["root_id", "sku"], ctx.max_elements)
-    per_campaign = parts.groupBy(*SUPPLIER, PART, "root_id").agg(
-        sorted_list(element).alias("skus")
-    )
+    per_campaign = fold(in_window, [*SUPPLIER, "root_id"], "skus", element, split_on=["sku"])
     campaigns = rollup.where(
         F.to_date("campaign_end_at_utc").between(F.lit(start), F.lit(end))
-    ).select(
-        "global_entity_id", "country_code", *CAMPAIGN_FIELDS, F.col(PART).alias("__child_part")
-    )
+    ).select("global_entity_id", "country_code", *CAMPAIGN_FIELDS)
     joined = per_campaign.join(campaigns, ["global_entity_id", "country_code", "root_id"])
-    none = F.filter("skus", lambda _: F.lit(False))
-    skus = F.when(F.col("__child_part") == 0, F.col("skus")).otherwise(none)
-    campaign = F.struct(*CAMPAIGN_FIELDS, skus.alias("skus"))
-    return joined.groupBy(*SUPPLIER, PART).agg(sorted_list(campaign).alias("campaigns")).select(
-        *SUPPLIER,
-        F.lit(start).alias("campaign_concluded_week_utc"),
-        PART,
-        "campaigns",
-    )
+    campaign = F.struct(*CAMPAIGN_FIELDS, "skus")
+    statements = fold(joined, SUPPLIER, "campaigns", campaign, split_on=["root_id"])
+    return statements.withColumn("campaign_concluded_week_utc", F.lit(start)).select(
+        *SUPPLIER, "campaign_concluded_week_utc", "campaigns"
+    )
 
 
 @dataclass(frozen=True)

@@ -127,23 +127,21 @@ def test_asof_join_matches_brute_force(spark, closed, bucket_days):
     assert rows(got) == sorted(expected, key=str)
 
 
-def test_hot_document_is_cut_into_parts_and_stays_whole(spark):
-    data = [("hot", i) for i in range(95)] + [("cold", i) for i in range(5)] + [(None, 1)]
-    df = spark.createDataFrame(data, "k string, v int")
-    folded = fold(df, ["k"], "items", F.struct("v"), split_on=["v"], max_elements=10)
-    sizes = {(r.k, r.document_part): len(r["items"]) for r in folded.collect()}
-    assert sum(k == "hot" for k, _ in sizes) > 5
-    assert sizes[("cold", 0)] == 5
-    assert rows(unfold(folded, "items", ["k"])) == rows(df)
-    whole = fold(df, ["k"], "items", F.struct("v"), split_on=["v"], max_elements=1000)
-    assert whole.where("document_part > 0").isEmpty() and whole.count() == 3
+def test_hot_document_stays_one(spark):
+    data = [("hot", i) for i in range(9500)] + [("cold", i) for i in range(5)] + [(None, 1)]
+    df = spark.createDataFrame(data, "k string, v int").withColumn("w", F.when(F.col("v") > 2, F.col("v")))
+    folded = fold(df, ["k"], "items", F.struct("v"), split_on=["v"])
+    assert {r.k: len(r["items"]) for r in folded.collect()} == {"hot": 9500, "cold": 5, None: 1}
+    assert rows(unfold(folded, "items", ["k"])) == rows(df.select("k", "v"))
+    sparse = fold(df, ["k"], "items", F.col("w"), split_on=["v"])
+    assert {r.k: r["items"] for r in sparse.where("k is null or k = 'cold'").collect()} == {None: [], "cold": [3, 4]}
 
 
 def test_fold_many_keeps_every_child(spark):
     a = spark.createDataFrame([("p", f"s{i}", i) for i in range(40)], "k string, sku string, x int")
     b = spark.createDataFrame([("p", "v1"), ("q", "v2")], "k string, sku string")
     folded = fold_many(
-        {"a": (a, ["sku", "x"]), "b": (b, ["sku"])}, ["k"], split_on="sku", max_elements=9
+        {"a": (a, ["sku", "x"]), "b": (b, ["sku"])}, ["k"], split_on="sku"
     )
     assert rows(unfold(folded, "a", ["k"])) == rows(a)
     assert rows(unfold(folded, "b", ["k"])) == rows(b)
