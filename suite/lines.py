@@ -193,20 +193,19 @@ changes as (
     and updated_field <> 'average_weight_per_piece_unit'
   qualify row_number() over (partition by global_entity_id, global_catalog_id, updated_field,
     cast(valid_from_lt as date) order by valid_from_lt desc nulls last, updated_value) = 1)"""
-
-
-def attribute_join(alias: str, field: str) -> str:
-    return history_join("changes", alias, "global_entity_id", f"{alias}.updated_field = '{field}'")
-
-
+ATTRIBUTE_FIELDS = {
+    "m": "minimum_starting_weight", "sw": "sold_by_weight", "sp": "sold_by_piece",
+    "av": "average_weight_per_piece",
+}
+# One stored history per field, so that every join is an equality with a short residual.
+CHANGES_SQL = CHANGES_SQL.replace("changes as (", "changes as materialized (") + "".join(
+    f""", changes_{alias} as materialized (
+  select global_entity_id, global_catalog_id, valid_from_utc, valid_to_utc, updated_value
+  from changes where updated_field = '{field}')"""
+    for alias, field in ATTRIBUTE_FIELDS.items()
+)
 ATTRIBUTE_JOINS = "\n".join(
-    attribute_join(alias, field)
-    for alias, field in (
-        ("m", "minimum_starting_weight"),
-        ("sw", "sold_by_weight"),
-        ("sp", "sold_by_piece"),
-        ("av", "average_weight_per_piece"),
-    )
+    history_join(f"changes_{alias}", alias, "global_entity_id") for alias in ATTRIBUTE_FIELDS
 )
 ATTRIBUTE_SQL = """cast(m.updated_value as double) as minimum_starting_weight,
   cast(sw.updated_value as boolean) as is_sold_by_weight,
