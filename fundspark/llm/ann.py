@@ -168,7 +168,7 @@ def nearest_neighbours(
     *,
     k: int = 10,
     every: int = 100,
-    share: float = 1.25,
+    share: float = 1.5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     seed: int = 17,
