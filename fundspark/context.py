@@ -7,14 +7,17 @@ from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
-# Settings the operators count on. Skewed join partitions are split at run time, and only the
-# partitions present in a batch are replaced on write.
+# Settings the operators count on. Skewed join partitions are split at run time, also where joins
+# on one key follow each other without a shuffle between them: such a chain moves its rows once
+# more, but only if a skewed partition was measured. On write only the partitions present in a
+# batch are replaced.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Recording the Python call site of every column expression doubles the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -88,7 +91,12 @@ class RunContext:
 
     @property
     def asof_bounds(self) -> tuple[date, date] | None:
-        """Dates the facts of this run lie in; sets how as-of joins slice time."""
+        """Dates the facts of this run lie in; sets how as-of joins slice time.
+
+        A run over the whole table without dates gets the ten years up to the run date; older
+        facts share the first slice.
+        """
         if (stream := self.stream_range(1, 1)) is not None:
             return stream
-        return (self.date_in, self.date_fin) if self.date_in and self.date_fin else None
+        ten_years_ago = self.as_of - timedelta(days=3652)
+        return self.date_in or ten_years_ago, self.date_fin or self.as_of

@@ -445,11 +445,13 @@ ITEM_ID_SPLIT_REGION = "eu"
 ITEM_ID_COUNTRIES = ("at", "cz", "de", "fi", "hu", "no", "se", "sk", "tr")
 
 
-def trusted_item_id(region: Column, entity: Column, created: Column, item: Column) -> Column:
+def trusted_item_id(
+    region: Column, entity: Column, created: Column, item: Column, since: str = ITEM_ID_SINCE
+) -> Column:
     known_here = F.when(region == ITEM_ID_REGION, True).when(
         region == ITEM_ID_SPLIT_REGION, country_of(entity).isin(*ITEM_ID_COUNTRIES)
     )
-    return F.when(known_here & (created >= F.expr(f"TIMESTAMP '{ITEM_ID_SINCE}'")), item)
+    return F.when(known_here & (created >= F.expr(f"TIMESTAMP '{since}'")), item)
 
 
 def order_line_campaigns(
@@ -458,6 +460,7 @@ def order_line_campaigns(
     external: DataFrame,
     *,
     dedupe_products: bool = False,
+    item_id_since: str = ITEM_ID_SINCE,
 ) -> DataFrame:
     """Discount and funding per order and product, with its campaigns and combos as arrays.
 
@@ -491,7 +494,7 @@ def order_line_campaigns(
     funded = F.coalesce("abs_discount_value_lt", "supplier_funded_amount")
     item = trusted_item_id(
         F.col("region"), F.col("global_entity_id"), F.col("created_at_utc"),
-        F.col("promo_order_item_id"),
+        F.col("promo_order_item_id"), item_id_since,
     )
     campaign = F.struct(
         "campaign_id",
@@ -600,6 +603,8 @@ def order_lines_curated(
     if stream is not None:
         kept = ctx.stream_range() if ctx.backfill else stream
         dated = dated.where(F.col("order_created_date_utc").between(*map(F.lit, kept)))
+        near = F.col("order_created_date_utc").between(*map(F.lit, stream))
+        line_campaigns = line_campaigns.where(near)
     last_day = stream[1] - timedelta(days=1) if stream is not None else None
 
     dated = with_time_slice(dated, ORDER_TIME, **_asof(ctx))

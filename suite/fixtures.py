@@ -507,7 +507,7 @@ from f_sales"""
 
 # Campaign facts per order line, by catalog id or, for some lines, only by platform id.
 FIXTURES["f_line_campaigns"] = f"""
-select {ENTITY}, order_id,
+select {ENTITY}, order_id, max(order_date) as order_created_date_utc,
   case when pkey % 4 <> 0 then {CATALOG_ID} else 'unknown' end as global_catalog_id,
   {PLATFORM_ID} as platform_product_id,
   case when lno = 4 then 'I' || {s("okey")} || '-' || {s("lno")} end as promo_order_item_id,

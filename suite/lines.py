@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from fundspark.functions.money import NUMERIC
@@ -374,11 +377,12 @@ def promo_sum(column: str) -> str:
     return f"sum({column}) as {{0}}_lc, sum({column}) / p.exchange_rate_value as {{0}}_eur"
 
 
+ITEM_ID_SINCE_UTC = "2024-02-07 10:36:00"
 PROMO_SQL = f"""
 known as (select distinct global_entity_id, global_catalog_id, sku from f_catalog),
 paired as (
   select p.*, e.abs_value, k.sku,
-    case when p.created_at_utc >= timestamp '2024-02-07 10:36:00' and (p.region = 'ap'
+    case when p.created_at_utc >= timestamp '{ITEM_ID_SINCE_UTC}' and (p.region = 'ap'
       or (p.region = 'eu' and lower(split_part(p.global_entity_id, '_', 2)) in
         ('at', 'cz', 'de', 'fi', 'hu', 'no', 'se', 'sk', 'tr')))
       then p.promo_order_item_id end as trusted_item
@@ -411,16 +415,30 @@ per_line as (
     platform_product_id, trusted_item, exchange_rate_value)"""
 
 
-@register(
-    "order_line_campaigns",
-    f"""with {PROMO_SQL} select {", ".join(PROMO_KEYS)}, {sql_rounded(*PROMO_AMOUNTS)},
+LINE_CAMPAIGNS_SQL = f"""with {PROMO_SQL} select {", ".join(PROMO_KEYS)},
+      {sql_rounded(*PROMO_AMOUNTS)},
       element_count, coalesce(campaign_ids, '') as campaign_ids,
       coalesce(combo_ids, '') as combo_ids, {sql_near('coalesce(element_funding, 0)')}
-        as element_funding from per_line""",
+        as element_funding from per_line"""
+# Within the dates of the test orders, so that both sides of the instant occur.
+ITEM_ID_TRIAL = "1998-06-15 12:00:00"
+
+
+@register("order_line_campaigns", LINE_CAMPAIGNS_SQL)
+def _(x):
+    return checked_line_campaigns(x)
+
+
+@register(
+    "order_line_campaigns_item_id", LINE_CAMPAIGNS_SQL.replace(ITEM_ID_SINCE_UTC, ITEM_ID_TRIAL)
 )
 def _(x):
+    return checked_line_campaigns(x, item_id_since=f"{ITEM_ID_TRIAL} UTC")
+
+
+def checked_line_campaigns(x, **settings):
     external = x("f_external").withColumnRenamed("amount", "abs_discount_value_lt")
-    lines = ops.order_line_campaigns(x.promo_orders, x.catalog, external)
+    lines = ops.order_line_campaigns(x.promo_orders, x.catalog, external, **settings)
     funding = F.aggregate(
         "campaign_info",
         F.lit(0.0),
@@ -485,7 +503,13 @@ select {", ".join("l." + c for c in CURATED_PLAIN)}, {economics_sql("first_lc",
 from shown as l"""
 
 
-def curated_lines(x: Inputs):
+# A daily run: the eight days before the run date and the run date itself.
+DAILY = replace(FULL, as_of=date(1998, 6, 15), backfill=False)
+DAILY_SQL = f"""{CURATED_SQL}
+where l.order_created_date_utc between date '1998-06-07' and date '1998-06-15'"""
+
+
+def curated_lines(x: Inputs, ctx=FULL):
     raw = x("f_lines_raw").withColumn("returns", F.array().cast("array<struct<reason:string>>"))
     return ops.order_lines_curated(
         raw,
@@ -500,7 +524,15 @@ def curated_lines(x: Inputs):
         attribute_log=x("f_attribute_log"),
         line_campaigns=x.line_campaigns,
         fx=x("f_fx"),
-        ctx=FULL,
+        ctx=ctx,
+    )
+
+
+@register("order_lines_curated_daily", DAILY_SQL)
+def _(x):
+    day = F.col("order_created_date_utc")
+    return curated_lines(x, DAILY).where(day <= F.lit(DAILY.as_of)).select(
+        *CURATED_PLAIN, *rounded(*ECONOMICS, digits=3), *rounded(*CURATED_AMOUNTS)
     )
 
 

@@ -200,3 +200,49 @@ def test_stream_ranges():
     assert ctx.stream_range() == (date(2024, 3, 3), date(2024, 3, 10))
     assert ctx.stream_range(1, 1) == (date(2024, 3, 2), date(2024, 3, 11))
     assert RunContext(as_of=date(2024, 3, 10), backfill=True).stream_range() is None
+
+
+def skewed_joins(df):
+    """Sort-merge joins of the executed plan that were split at run time."""
+    frame = df.select("*")
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin(skew=true)")
+
+
+def test_chained_asof_joins_are_split_at_a_hot_product(spark):
+    """Four in five facts are of one product; both joins of a chain on one key are split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        product = F.when(F.col("id") % 5 < 4, F.lit(0)).otherwise(F.col("id") % 97).cast("int")
+        moment = F.timestamp_seconds(F.lit(1_577_836_800) + F.col("id") % 86_400)
+        facts = spark.range(0, 200_000, 1, 8).select(
+            F.col("id").alias("line"), product.alias("product"), moment.alias("at")
+        )
+        history = spark.range(97).select(
+            F.col("id").cast("int").alias("product"),
+            F.lit(datetime(2019, 1, 1)).alias("valid_from_utc"),
+            F.lit(datetime(2021, 1, 1)).alias("valid_to_utc"),
+            (F.col("id") * 2).alias("value"),
+        )
+        out = facts
+        for name in ("one", "two"):
+            out = asof_join(out, history, {"product": "product"}, "at", values={name: "value"})
+        assert out.where("one = product * 2 and two = product * 2").count() == 200_000
+        assert skewed_joins(out) == 2
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_run_over_the_whole_table_slices_its_asof_joins():
+    ctx = RunContext(as_of=date(2024, 3, 10), backfill=True)
+    assert ctx.asof_bounds == (date(2014, 3, 11), date(2024, 3, 10))
