@@ -7,7 +7,8 @@ the wanted share of all index entries; the candidates in them are ranked by exac
 
 The trees are fitted on a bounded sample; every row is indexed. Vectors travel to their leaves once
 per tree. Leaves are bundled to tasks by their counted sizes, and a leaf of many rows is split over
-several, which its queries all visit.
+several, which its queries all visit. The queries of a bundle are cut into blocks too, each of which
+meets the bundle's rows in a task of its own.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from fundspark.llm.sampling import hashed_sample
 from fundspark.llm.vectors import best_per_query, matrix, query_vectors, valid_vectors
 
 TREES, LEAF, SAMPLE = 2, 96, 8_192
-BUNDLE_ROWS = 16_384
+BUNDLE_ROWS, QUERIES = 16_384, 4_096
 ROUTED = "tree int, leaf int, id long, v array<double>"
 ASKED = "bundle int, id long, v array<double>, leaves array<int>"
 FOUND = "query_id long, vec_id long, score double"
@@ -199,12 +200,14 @@ def nearest_neighbours(
     asked = query_vectors(rows, F.col("id") % every == 0)
     routed = rows.mapInPandas(_route(forest, width), ROUTED)
     # As many counts as the forest has leaves.
-    counted = routed.groupBy("tree", "leaf").count().collect()
+    is_query = F.count_if(F.col("id") % every == 0).alias("asked")
+    counted = routed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("size"), is_query).collect()
+    across = max(1, -(-sum(row["asked"] for row in counted if row["tree"] == 0) // QUERIES))
     sizes = [np.zeros(len(tree.left), np.int64) for tree in forest]
     bundles: dict[tuple[int, int], range] = {}
     places, bundle, load = [], 0, 0
     for row in sorted(counted):
-        tree, leaf, size = row["tree"], row["leaf"], row["count"]
+        tree, leaf, size = row["tree"], row["leaf"], row["size"]
         sizes[tree][leaf] = size
         if load and load + size > BUNDLE_ROWS:
             bundle, load = bundle + 1, 0
@@ -214,9 +217,12 @@ def nearest_neighbours(
         bundle, load = bundle + parts - 1, load + size if parts == 1 else BUNDLE_ROWS
     wanted = share * sum(int(size.sum()) for size in sizes) / TREES
     visits = asked.mapInPandas(_ask(forest, sizes, bundles, wanted), ASKED)
+    visits = visits.withColumn("across", F.pmod(F.xxhash64("id"), F.lit(across)).cast("int"))
     where = F.broadcast(spark.createDataFrame(places, "tree int, leaf int, first int, parts int"))
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     dealt = routed.join(where, ["tree", "leaf"]).withColumn("bundle", F.col("first") + part)
-    dealt = dealt.select("bundle", "tree", "leaf", "id", "v")
-    found = visits.groupBy("bundle").cogroup(dealt.groupBy("bundle")).applyInPandas(_rank(k), FOUND)
+    block = F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("across")
+    dealt = dealt.select("bundle", "tree", "leaf", "id", "v", block)
+    key = ["bundle", "across"]
+    found = visits.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(_rank(k), FOUND)
     return best_per_query(found.distinct(), k, F.asc("score"))

@@ -171,6 +171,15 @@ def test_top_products_and_neighbours(spark):
     assert topk.top_products(few.limit(0)).count() == 0 and ann.nearest_neighbours(few.limit(0)).count() == 0
 
 
+def test_neighbours_are_the_same_in_small_blocks(spark, monkeypatch):
+    vectors = np.random.default_rng(6).normal(size=(1500, 16)).tolist()
+    table = make_vectors(spark, [*enumerate(vectors), (None, vectors[0])])
+    whole = sorted(ann.nearest_neighbours(table).collect())
+    monkeypatch.setattr(ann, "QUERIES", 4)
+    monkeypatch.setattr(ann, "BUNDLE_ROWS", 256)
+    assert sorted(ann.nearest_neighbours(table).collect()) == whole and len(whole) == 150
+
+
 def test_huge_components_stay_exact():
     found, score = topk._exact(np.array([[2.0**40, 1], [2.0**30, 3]]), np.array([1, 2]), np.array([2.0**20, 5]), 0, 2)
     assert found.tolist() == [1, 2] and score.tolist() == [2**60 + 5, 2**50 + 15]
