@@ -96,22 +96,31 @@ def resolve_ids(
 def normalise_quantity(
     lines: DataFrame, steps: DataFrame, ctx: RunContext, catalog_key: str = "global_catalog_id"
 ) -> DataFrame:
-    """Express quantities of weight-step products as a number of steps."""
+    """Express quantities of weight-step products as a number of steps.
+
+    Only one entity sells in steps: its lines alone are shuffled for the lookup, all others pass
+    by. Both halves are a filter on the entity, which reaches the scan.
+    """
+    if not ctx.weight_step_entity:
+        return lines
+    entity = F.col("global_entity_id")
     keyed = steps.withColumnRenamed("global_catalog_id", "__step_id")
-    joined = lines.withColumn("__step_id", F.col(catalog_key)).join(
-        keyed, ["global_entity_id", "platform_vendor_id", "__step_id", "sku"], "left"
+    joined = (
+        lines.where(entity == ctx.weight_step_entity)
+        .withColumn("__step_id", F.col(catalog_key))
+        .join(keyed, ["global_entity_id", "platform_vendor_id", "__step_id", "sku"], "left")
     )
-    stepped = (F.col("global_entity_id") == ctx.weight_step_entity) & F.col(
-        "weight_step"
-    ).isNotNull()
-    return joined.withColumns(
+    stepped = joined.withColumns(
         {
             q: F.when(
-                stepped, F.round(F.try_divide(F.col(q), F.col("weight_step").cast("double")), 2)
+                F.col("weight_step").isNotNull(),
+                F.round(F.try_divide(F.col(q), F.col("weight_step").cast("double")), 2),
             ).otherwise(F.col(q))
             for q in QUANTITIES
         }
     ).select(*lines.columns)
+    others = lines.where(entity.isNull() | (entity != ctx.weight_step_entity))
+    return stepped.unionByName(others)
 
 
 # --- validity intervals -------------------------------------------------------------------------

@@ -52,7 +52,7 @@ def funded_order_lines(
     concluded = versions.where(
         F.to_date("campaign_end_at_utc").between(F.lit(start), F.lit(end))
     ).select("global_entity_id", "campaign_id", "campaign_type", "root_id", "campaign_end_at_utc")
-    matched = bounded_join(lines, concluded, ["global_entity_id", "campaign_id"])
+    matched = lines.join(concluded, ["global_entity_id", "campaign_id"])
     discount = F.col("promo_items_discount_lc")
     funded = F.col("promo_items_supplier_funded_lc")
     return matched.select(

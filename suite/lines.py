@@ -644,6 +644,22 @@ def order_item_rows(x: Inputs):
     return raw.withColumns(extra)
 
 
+# Every published amount by its place in the list: swapping two of them shows.
+ORDER_AMOUNTS_SQL = [
+    *[f"{sql_near(f'o.total * {i} / 100')} as {v}_lc"
+      for i, v in enumerate(order_ops.ORDER_VALUES, start=1)],
+    *[f"{sql_near(f'o.total * {i} / 200')} as {v}_eur"
+      for i, v in enumerate(order_ops.ORDER_VALUES, start=1)],
+    *[f"{sql_near('o.total / 3')} as {v}_lc" for v in order_ops.LOCAL_ONLY_VALUES],
+]
+ITEM_AMOUNTS_SQL = [
+    *[f"{sql_near(f'l.unit_price_lc * {i}')} as item_{v}_lc"
+      for i, v in enumerate(order_ops.ITEM_VALUES, start=1)],
+    *[f"{sql_near(f'l.unit_price_lc / {i}')} as item_{v}_eur"
+      for i, v in enumerate(order_ops.ITEM_VALUES, start=1)],
+]
+
+
 @register(
     "orders_curated",
     f"""select o.global_entity_id, o.order_id, o.order_date as order_created_date_lt,
@@ -651,10 +667,7 @@ def order_item_rows(x: Inputs):
       coalesce(r.is_acquisition_qcommerce, false) as is_acquisition_qcommerce,
       coalesce(r.is_acquisition_darkstore, false) as is_acquisition_darkstore,
       coalesce(r.is_acquisition_localshop, false) as is_acquisition_localshop,
-      {sql_near('o.total / 200')} as amt_gmv_eur, {sql_near('o.total * 21 / 100')} as amt_cogs_lc,
-      {sql_near('o.total / 3')} as checkout_total_lc, l.sku, l.quantity_sold,
-      {sql_near('l.unit_price_lc / 3')} as unit_price_paid_eur,
-      {sql_near('l.unit_price_lc * 9')} as item_cogs_lc
+      {", ".join(ORDER_AMOUNTS_SQL)}, l.sku, l.quantity_sold, {", ".join(ITEM_AMOUNTS_SQL)}
     from f_order_heads as o
       left join f_lines_raw as l on l.global_entity_id = o.global_entity_id
         and l.order_id = o.order_id
@@ -665,21 +678,20 @@ def _(x):
     curated = order_ops.orders_curated(order_headers(x), order_item_rows(x), x("f_ranks"), FULL)
     head = ["global_entity_id", "order_id", "order_created_date_lt", "customer_qc_order_rank",
             *order_ops.ACQUISITION_FLAGS]
-
-    def amount(path: str, name: str):
-        return near(F.col(path)).alias(name)
-
-    parent = curated.select(
-        *head,
-        amount("order_value_euro.amt_gmv_eur", "amt_gmv_eur"),
-        amount("order_value_lc.amt_cogs_lc", "amt_cogs_lc"),
-        amount("order_value_lc.picking_checkout_confirmed_total_lc", "checkout_total_lc"),
-        F.explode_outer("items").alias("i"),
-    )
+    structs = {"order_value_euro": "eur", "order_value_lc": "lc"}
+    amounts = [
+        near(F.col(f"{struct}.{v}_{unit}")).alias(f"{v}_{unit}")
+        for struct, unit in structs.items()
+        for v in order_ops.ORDER_VALUES
+    ]
+    amounts += [
+        near(F.col(f"order_value_lc.{v}_lc")).alias(f"{v}_lc") for v in order_ops.LOCAL_ONLY_VALUES
+    ]
+    parent = curated.select(*head, *amounts, F.explode_outer("items").alias("i"))
     return parent.select(
         *[c for c in parent.columns if c != "i"],
         "i.sku",
         "i.quantity_sold",
-        amount("i.value_euro.unit_price_paid_eur", "unit_price_paid_eur"),
-        amount("i.value_lc.amt_cogs_lc", "item_cogs_lc"),
+        *[near(F.col(f"i.value_lc.{v}_lc")).alias(f"item_{v}_lc") for v in order_ops.ITEM_VALUES],
+        *[near(F.col(f"i.value_euro.{v}_eur")).alias(f"item_{v}_eur") for v in order_ops.ITEM_VALUES],
     )
