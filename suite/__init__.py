@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from suite.model import QUERIES, Inputs
 
-for _module in ("feeds", "campaigns", "catalog", "lines", "funding", "quality"):
+for _module in ("feeds", "campaigns", "catalog", "lines", "funding", "quality", "curated"):
     import_module(f"suite.{_module}")
 
 QUERY_NAMES = list(QUERIES)

@@ -126,19 +126,19 @@ ORDER_RENAMES = """* exclude (order_id, platform_order_code, absolute_discount,
   modified_at as updated_at_utc"""
 
 
-@register(
-    "merge_sources_orders",
-    merge_sql(
-        f"""select {ORDER_RENAMES}, json_extract_string(client_info, '$.client_id') as client_id,
-        json_extract_string(client_info, '$.session_id') as session_id, 'cart' as src
-        from f_cart_orders""",
-        f"""select {ORDER_RENAMES}, cast(null as string) as client_id,
-        cast(null as string) as session_id, 'app' as src from f_app_orders""",
-        ["country_code", "promo_order_id"],
-        ORDER_VALUES,
-        ["updated_at_utc"],
-    ),
+MERGED_ORDERS_SQL = merge_sql(
+    f"""select {ORDER_RENAMES}, json_extract_string(client_info, '$.client_id') as client_id,
+    json_extract_string(client_info, '$.session_id') as session_id, 'cart' as src
+    from f_cart_orders""",
+    f"""select {ORDER_RENAMES}, cast(null as string) as client_id,
+    cast(null as string) as session_id, 'app' as src from f_app_orders""",
+    ["country_code", "promo_order_id"],
+    ORDER_VALUES,
+    ["updated_at_utc"],
 )
+
+
+@register("merge_sources_orders", MERGED_ORDERS_SQL)
 def _(x):
     merged = feeds.orders_clean(x("f_cart_orders"), x("f_app_orders"))
     stamps = ["created_at_utc", "updated_at_utc"]
@@ -157,22 +157,22 @@ ITEM_SHARED = """created_date, country_code, global_entity_id, order_id as promo
   created_at as created_at_utc, modified_at as updated_at_utc"""
 
 
-@register(
-    "merge_sources_items",
-    merge_sql(
-        f"""select {ITEM_SHARED}, order_item_id as promo_order_item_id, parent_product_id,
-        parent_product_id is not null as is_combo_product, platform_product_id,
-        distributed_discounted_price, weight, 'cart' as src from f_cart_items""",
-        f"""select {ITEM_SHARED}, cast(null as string) as promo_order_item_id,
-        cast(null as string) as parent_product_id, cast(null as boolean) as is_combo_product,
-        cast(null as string) as platform_product_id,
-        cast(null as double) as distributed_discounted_price, cast(null as double) as weight,
-        'app' as src from f_app_items""",
-        ["country_code", "promo_order_id", "product_id"],
-        ITEM_VALUES,
-        ["updated_at_utc"],
-    ),
+MERGED_ITEMS_SQL = merge_sql(
+    f"""select {ITEM_SHARED}, order_item_id as promo_order_item_id, parent_product_id,
+    parent_product_id is not null as is_combo_product, platform_product_id,
+    distributed_discounted_price, weight, 'cart' as src from f_cart_items""",
+    f"""select {ITEM_SHARED}, cast(null as string) as promo_order_item_id,
+    cast(null as string) as parent_product_id, cast(null as boolean) as is_combo_product,
+    cast(null as string) as platform_product_id,
+    cast(null as double) as distributed_discounted_price, cast(null as double) as weight,
+    'app' as src from f_app_items""",
+    ["country_code", "promo_order_id", "product_id"],
+    ITEM_VALUES,
+    ["updated_at_utc"],
 )
+
+
+@register("merge_sources_items", MERGED_ITEMS_SQL)
 def _(x):
     merged = feeds.order_items_clean(x("f_cart_items"), x("f_app_items"))
     stamps = ["created_at_utc", "updated_at_utc"]
