@@ -559,6 +559,7 @@ def order_line_campaigns(
 
 # --- the curated order line ---------------------------------------------------------------------
 
+# The published columns of an order line, in their order.
 OUTPUT = [
     "origin", "order_created_date_utc", "order_created_at_utc", "global_entity_id",
     "fulfilled_by_entity", "country_code", "order_id", "warehouse_id", "is_dark_store",

@@ -10,7 +10,7 @@ from fundspark.operators.nested import unfold
 from suite.model import FULL, HEADER_TIMES, MONTHLY, Inputs, register, sql_text, text
 
 GOODS = "applies_to in ('PRODUCTS', 'CHEAPEST_PRODUCTS')"
-# Independent lookup by concatenated key: type, target group, discount type, value group.
+# The labels by campaign type, then target group, discount type and value.
 SUBTYPE_SQL = f"""case
   when campaign_type = 'Generic' then 'Generic'
   when campaign_type = 'Strikethrough' and {GOODS} then
