@@ -553,7 +553,7 @@ select {ENTITY}, {s("n")} || '-' || {s("pkey")} || '-' || {s("slot % 2")}
   true as vendor_product_is_active, 'OK' as status, cast(pkey as double) as catalog_price_lc,
   case pkey % 5 when 0 then null when 1 then true else false end as has_own_brand_category,
   {GLOBAL_VENDOR} as catalog_global_vendor_id, {VENDOR} as platform_vendor_id,
-  case pkey % 3 when 0 then 'SHOP' else 'DMART' end as type,
+  case pkey % 3 when 0 then 'SHOP' else 'WAREHOUSE' end as type,
   case when pkey % 2 = 0 then cast(pkey % 6 as double) end as sales_buffer,
   'client' as created_by_client, 'component' || {s("pkey % 2")} as created_by_component
 from f_assort"""
