@@ -287,8 +287,8 @@ def extract_pages(
 
     White space inside a block becomes one space; blocks are joined by line feeds. A NULL or empty
     html gives an empty text. A page without a host has no style tree, only furniture is removed.
-    Rows that repeat a page are extracted alike and count once in the tree. Other columns are not
-    read.
+    Rows of one host with equal html are extracted alike and count once in the tree, whatever their
+    ids and urls. Other columns are not read.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(F.col(url_col), r"//(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -297,8 +297,7 @@ def extract_pages(
         F.col(url_col).cast("string").alias("url"),
         html.alias("html"),
         F.when(host != "", host).alias("host"),
-        F.xxhash64(id_col, url_col, html_col).alias("key"),
-    )
+    ).withColumn("key", F.xxhash64("host", "html"))
     schema = "key long, host string, path long, style long, content long"
     styles = base.where("host is not null").select("key", "host", "html").mapInPandas(_styles, schema)
     styles = materialise(styles.distinct(), "html-styles")

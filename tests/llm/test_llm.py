@@ -210,6 +210,20 @@ def test_pages(spark):
     assert html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_count_once_on_their_host(spark):
+    rng = np.random.default_rng(12)
+    nav = "<div class='links'>Home News Contact</div>"
+
+    def page(text):
+        return f"<html><body>{nav}<article><div class='body'><p>{text}</p></div></article></body></html>"
+
+    texts = ["the copied story"] * 1000 + [random_text(rng, 30) for _ in range(50)]
+    rows = [(i, f"http://h.org/{i}", page(t)) for i, t in enumerate(texts)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages).collect()}
+    assert found == dict(enumerate(texts))
+
+
 def test_bins_are_full_and_complete():
     rng = np.random.default_rng(6)
     lengths = {int(k): int(n) for k, n in zip(*np.unique(rng.integers(1, 200, 700), return_counts=True), strict=True)}
