@@ -4,7 +4,9 @@ A document's set of word shingles gets a signature of ``chunks * width`` MinHash
 bits. Two signatures that differ in at most ``2 * chunks - 1`` symbols have, by pigeonhole, a chunk
 with at most one differing symbol. Each chunk is therefore indexed once per position with that
 position left out: the allowed errors are enumerated, and every pair within that distance shares
-an index key. Pairs beyond it that share a key are looked at as well. Candidates are confirmed on
+an index key. Pairs beyond it that share a key are looked at as well, so a pair at similarity 0.8
+is missed only if none of its chunks has at most one differing symbol: a chance of about 1e-7.
+Candidates are weighed by an upper bound of what they share, which loses no link, and confirmed on
 the full sets.
 
 Buckets are never expanded into all pairs. Documents with equal sets are one node. A bucket first
@@ -27,13 +29,9 @@ from fundspark.llm.components import components
 from fundspark.operators.lineage import materialise
 
 CHUNKS, WIDTH = 12, 5
-# Pigeonhole: at most this many differing symbols leave a chunk with at most one.
-DISTANCE = 2 * CHUNKS - 1
-# A second, longer signature of one byte per symbol weighs candidates before sets are compared.
-# Its agreement has a standard deviation of 0.025 at similarity 0.8; pairs are looked at down to
-# 3.5 of these below the least similarity.
-FINE = 256
-MARGIN = 0.0875
+# Shingles are counted in so many bins, up to FULL a bin. Two sets share at most the smaller count of
+# every bin; where both are FULL they may share anything.
+BINS, FULL = 256, 255
 BLOCK = 512
 GROUP_ROWS = 20_000
 WORDS_KEPT = 500_000
@@ -123,13 +121,28 @@ def _index_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"key": keys.ravel(), "slot": slots, "id": ids})
 
 
-def _profile(size: int, seed: int):
+def bin_counts(shingles: np.ndarray) -> np.ndarray:
+    counts = np.bincount((shingles % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, FULL).astype(np.uint8)
+
+
+def can_link(sizes_a, bins_a, sizes_b, bins_b, percent: int) -> np.ndarray:
+    """Whether pairs may be similar enough: False only where their full sets cannot be."""
+    least, most = np.minimum(sizes_a, sizes_b), np.maximum(sizes_a, sizes_b)
+    smaller = np.minimum(bins_a, bins_b)
+    both = np.where((smaller == FULL).any(axis=1), least, smaller.sum(axis=1, dtype=np.int64))
+    return (100 * least >= percent * most) & ((100 + percent) * both >= percent * (least + most))
+
+
+def _profile(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        multipliers, hashes = _multipliers(FINE, seed), WordHashes()
+        hashes = WordHashes()
         for batch in batches:
             sets = [shingle_set(text, size, hashes) for text in batch["text"]]
-            fine = [least_hashes(x, multipliers).astype(np.uint8).tobytes() for x in sets]
-            yield pd.DataFrame({"id": batch["id"], "fine": fine, "shingles": [x.tobytes() for x in sets]})
+            bins = [bin_counts(x).tobytes() for x in sets]
+            yield pd.DataFrame(
+                {"id": batch["id"], "n": [len(x) for x in sets], "bins": bins, "shingles": [x.tobytes() for x in sets]}
+            )
 
     return run
 
@@ -139,13 +152,12 @@ def _bytes(column: pd.Series, kind: str) -> np.ndarray:
 
 
 def _weigh(percent: int):
-    least = (percent / 100 - MARGIN) * FINE
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                same = (_bytes(batch["fa"], "u1") == _bytes(batch["fb"], "u1")).sum(axis=1)
-                yield batch.loc[same >= least, ["a", "b"]]
+                bins = _bytes(batch["bins_a"], "u1"), _bytes(batch["bins_b"], "u1")
+                sizes = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
+                yield batch.loc[can_link(sizes[0], bins[0], sizes[1], bins[1], percent), ["a", "b"]]
 
     return run
 
@@ -175,25 +187,23 @@ def _linked(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_pairs(percent: int):
-    """Pairs of one block of a bucket: first the index signature, then the longer one.
+    """Pairs of one block of a bucket that the counts of their shingles allow.
 
     Two documents can share several buckets. Only the bucket of their first common key reports
     the pair.
     """
-    least = (percent / 100 - MARGIN) * FINE
-
     def cell(slot: int, outer: pd.DataFrame, inner: pd.DataFrame) -> Iterator[pd.DataFrame]:
         left, right = _bytes(outer["signature"], "<u2"), _bytes(inner["signature"], "<u2")
-        fine_left, fine_right = _bytes(outer["fine"], "u1"), _bytes(inner["fine"], "u1")
+        bins_left, bins_right = _bytes(outer["bins"], "u1"), _bytes(inner["bins"], "u1")
+        sizes_left, sizes_right = outer["n"].to_numpy(), inner["n"].to_numpy()
         ids, roots = inner["id"].to_numpy(), inner["root"].to_numpy()
         for at, (a, root) in enumerate(zip(outer["id"], outer["root"], strict=True)):
             differ = (right != left[at]).reshape(-1, CHUNKS, WIDTH)
             errors = differ.sum(axis=2)
             first = (errors <= 1).argmax(axis=1)
             place = differ[np.arange(len(right)), first].argmax(axis=1)
-            own = (first * WIDTH + place == slot) & (roots != root) & (errors.sum(axis=1) <= DISTANCE)
-            own = np.flatnonzero(own)
-            own = own[(fine_right[own] == fine_left[at]).sum(axis=1) >= least]
+            own = np.flatnonzero((first * WIDTH + place == slot) & (roots != root))
+            own = own[can_link(sizes_left[at], bins_left[at], sizes_right[own], bins_right[own], percent)]
             if len(own):
                 b = ids[own]
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
@@ -224,7 +234,7 @@ def _rest(members, centres, roots, nodes, profiles, percent: int) -> DataFrame:
     placed = placed.withColumn("outer", F.col("root") != F.col("centre_root"))
     placed = materialise(placed.select("key", "slot", "id", "size", "root", "outer"), "near-placed")
     active = placed.where("outer").groupBy("key").agg(F.count(F.lit(1)).alias("outside"))
-    small = nodes.join(profiles.select("id", "fine"), "id").dropDuplicates(["id"])
+    small = nodes.join(profiles.select("id", "n", "bins"), "id").dropDuplicates(["id"])
     rows = placed.join(active, "key").join(small, "id")
 
     def blocks(count: str):
@@ -236,7 +246,7 @@ def _rest(members, centres, roots, nodes, profiles, percent: int) -> DataFrame:
     def every(count: str):
         return F.explode(F.sequence(F.lit(0), blocks(count) - 1))
 
-    layout = ["key", "slot", "id", "root", "signature", "fine", "outer", "block_a", "block_b"]
+    layout = ["key", "slot", "id", "root", "n", "signature", "bins", "outer", "block_a", "block_b"]
     outer = rows.where("outer").withColumn("block_a", own("outside")).withColumn("block_b", every("size"))
     inner = rows.withColumn("outer", F.lit(False)).withColumn("block_b", own("size"))
     inner = inner.withColumn("block_a", every("outside"))
@@ -289,7 +299,7 @@ def near_duplicates(
     members = materialise(keys.join(shared, "key"), "near-members")
     wanted = members.select("id").distinct()
     profiles = texts.join(wanted, "id", "left_semi").mapInPandas(
-        _profile(shingle_words, seed), "id long, fine binary, shingles binary"
+        _profile(shingle_words), "id long, n long, bins binary, shingles binary"
     )
     profiles = materialise(profiles, "near-profiles")
     # The centre of a bucket is the member that meets most others over all its keys.
@@ -301,8 +311,10 @@ def near_duplicates(
     stars = members.join(centres, "key").where("id <> centre")
     stars = stars.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     for side in ("b", "a"):
-        fine = profiles.select(F.col("id").alias(side), F.col("fine").alias(f"f{side}"))
-        stars = stars.join(fine, side)
+        counts = profiles.select(
+            F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bins").alias(f"bins_{side}")
+        )
+        stars = stars.join(counts, side)
     stars = materialise(stars.mapInPandas(_weigh(percent), "a long, b long").distinct(), "near-stars")
     links = _linked(stars, profiles, percent)
     more = _linked(

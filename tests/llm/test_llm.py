@@ -7,12 +7,13 @@ import hashlib
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 pytest.importorskip("fundspark.llm")
 
-from fundspark.llm import ann, html_extract, langid, licenses, mixing, packing, quality, topk, warc
+from fundspark.llm import ann, html_extract, langid, licenses, mixing, near_dedup, packing, quality, topk, warc
 from fundspark.llm.components import components
 from fundspark.llm.near_dedup import near_duplicates
 from fundspark.llm.queries import tokenizer_path
@@ -104,6 +105,58 @@ def test_one_large_group_of_near_copies(spark):
     assert not apart
 
 
+def test_pairs_at_the_limit_are_not_lost_to_estimates(spark):
+    """Pairs sharing 8 of 10 words whose signatures look less alike than they are."""
+    rng = np.random.default_rng(13)
+    coarse, fine = near_dedup._multipliers(60, 7), near_dedup._multipliers(256, 7)
+    far = 0
+    for _ in range(8000):
+        sets = rng.choice(2**62, 10, replace=False).astype(np.uint64)
+        one, two = np.sort(sets[:9]), np.sort(np.append(sets[:8], sets[9]))
+        x, y = (near_dedup.least_hashes(s, coarse).astype("<u2") for s in (one, two))
+        differ = (x != y).reshape(near_dedup.CHUNKS, near_dedup.WIDTH)
+        errors = differ.sum(axis=1)
+        if errors.sum() < 24 or errors.min() > 1:
+            continue
+        far += 1
+        chunk = (errors <= 1).argmax()
+        rows = [
+            (5, int(chunk * near_dedup.WIDTH + differ[chunk].argmax()), i, i, 9, sig.tobytes(), near_dedup.bin_counts(s).tobytes(), outer, 0, 0)
+            for i, sig, s, outer in ((1, x, one, True), (2, y, two, False))
+        ]
+        names = ["key", "slot", "id", "root", "n", "signature", "bins", "outer", "block_a", "block_b"]
+        pairs = near_dedup._block_pairs(80)(pd.DataFrame(rows, columns=names))
+        assert pairs.values.tolist() == [[1, 2]]
+        if far == 2:
+            break
+    assert far
+    texts, hashes = [], near_dedup.WordHashes()
+    for at in range(20000):
+        words = [f"v{at}x{i}" for i in range(10)]
+        pair = " ".join(words[:9]), " ".join(words[:8] + words[9:])
+        x, y = (near_dedup.least_hashes(near_dedup.shingle_set(t, 1, hashes), fine).astype(np.uint8) for t in pair)
+        if (x == y).sum() < 0.7125 * 256:
+            texts += pair
+            if len(texts) == 4:
+                break
+    assert len(texts) == 4
+    found = near_duplicates(make_docs(spark, list(enumerate(texts))), shingle_words=1, percent=80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i // 2 * 2 for i in range(len(texts))}
+
+
+def test_weighing_never_loses_a_link():
+    rng = np.random.default_rng(14)
+    for size in (1, 9, 200, 5000, 120_000):
+        for kept in (1.0, 0.9, 0.89, 0.5):
+            one = rng.integers(0, 2**62, size, np.uint64)
+            two = np.append(one[: int(size * kept)], rng.integers(0, 2**62, size - int(size * kept), np.uint64))
+            both = len(np.intersect1d(one, two))
+            bins = [near_dedup.bin_counts(x)[None] for x in (one, two)]
+            can = near_dedup.can_link(np.array([size]), bins[0], np.array([size]), bins[1], 80)[0]
+            assert can or 100 * both < 80 * (2 * size - both)
+    assert not near_dedup.can_link(np.array([200]), bins[0] * 0, np.array([200]), bins[1] * 0, 80)[0]
+
+
 def test_quality_ranks_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
