@@ -220,8 +220,9 @@ def _block_pairs(percent: int):
 def _rest(members, centres, roots, nodes, profiles, percent: int) -> DataFrame:
     """Candidate pairs between components, from buckets that hold more than one.
 
-    One of the two lies outside the component of the bucket's centre. Buckets are cut into blocks
-    of at most ``BLOCK`` such members and ``BLOCK`` members, so no task holds a whole bucket.
+    One of the two lies outside the component of the bucket's centre. Buckets are cut into cells
+    of about ``BLOCK`` such members and ``BLOCK`` members. Cells are dealt to groups by the rows
+    they hold together, so a task holds about ``GROUP_ROWS`` rows however large a bucket is.
     """
 
     def rooted(rows: DataFrame, column: str, name: str) -> DataFrame:
@@ -233,9 +234,11 @@ def _rest(members, centres, roots, nodes, profiles, percent: int) -> DataFrame:
     placed = placed.join(rooted(centres, "centre", "centre_root"), "key")
     placed = placed.withColumn("outer", F.col("root") != F.col("centre_root"))
     placed = materialise(placed.select("key", "slot", "id", "size", "root", "outer"), "near-placed")
-    active = placed.where("outer").groupBy("key").agg(F.count(F.lit(1)).alias("outside"))
+    active = placed.where("outer").groupBy("key").agg(
+        F.count(F.lit(1)).alias("outside"), F.first("size").alias("all")
+    )
     small = nodes.join(profiles.select("id", "n", "bins"), "id").dropDuplicates(["id"])
-    rows = placed.join(active, "key").join(small, "id")
+    rows = placed.join(active.drop("all"), "key").join(small, "id")
 
     def blocks(count: str):
         return F.ceil(F.col(count) / BLOCK).cast("int")
@@ -251,8 +254,9 @@ def _rest(members, centres, roots, nodes, profiles, percent: int) -> DataFrame:
     inner = rows.withColumn("outer", F.lit(False)).withColumn("block_b", own("size"))
     inner = inner.withColumn("block_a", every("outside"))
     cells = outer.select(*layout).union(inner.select(*layout))
-    total = placed.join(active, "key", "left_semi").count()
-    groups = max(1, total // GROUP_ROWS)
+    # The rows of all cells: either side is sent once per block of the other.
+    sent = F.col("outside") * blocks("all") + F.col("all") * blocks("outside")
+    groups = max(1, -(-(active.agg(F.sum(sent)).first()[0] or 0) // GROUP_ROWS))
     spread = F.pmod(F.xxhash64("key", "block_a", "block_b"), F.lit(groups)).alias("group")
     pairs = cells.groupBy(spread).applyInPandas(_block_pairs(percent), "a long, b long")
     return materialise(pairs.distinct(), "near-rest")

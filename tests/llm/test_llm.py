@@ -144,6 +144,24 @@ def test_pairs_at_the_limit_are_not_lost_to_estimates(spark):
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: i // 2 * 2 for i in range(len(texts))}
 
 
+def test_groups_of_cells_stay_small_in_large_buckets(spark, monkeypatch):
+    def sizes(percent):
+        return lambda rows: pd.DataFrame({"a": [len(rows)], "b": [int(rows["id"].sum())]})
+
+    monkeypatch.setattr(near_dedup, "_block_pairs", sizes)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "GROUP_ROWS", 200)
+    count = 400  # members of one bucket, none linked with another
+    members = spark.range(count).selectExpr("1L as key", "0 as slot", "id", f"{count}L as size")
+    centres = spark.createDataFrame([(1, 0)], "key long, centre long")
+    roots = spark.createDataFrame([], "node long, root long")
+    nodes = spark.range(count).selectExpr("id", "cast('s' as binary) as signature")
+    profiles = spark.range(count).selectExpr("id", "1L as n", "cast('b' as binary) as bins")
+    groups = [r["a"] for r in near_dedup._rest(members, centres, roots, nodes, profiles, 80).collect()]
+    assert sum(groups) == (count - 1) * 50 + count * 50
+    assert max(groups) <= 4 * 200
+
+
 def test_weighing_never_loses_a_link():
     rng = np.random.default_rng(14)
     for size in (1, 9, 200, 5000, 120_000):
