@@ -7,7 +7,8 @@ logarithm of the number of pages that have it: what looks and reads alike on all
 gets 0. On a page, a branch's importance combines its nodes' presentation and its leaves' content
 from the bottom up, and branches of low importance are removed. Hosts with few pages tell little,
 so importance is drawn towards 1 there; elements whose tag, class or id names furniture of a page
-are removed in any case.
+are removed in any case. Scripts, styles, text fields, titles, choices of a form, and closed
+iframes, templates, drawings (svg) and annotations of formulas go as well.
 """
 
 from __future__ import annotations
@@ -34,20 +35,32 @@ SALTS = 16
 # Elements of HTML by their role.
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr "
-    "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr td th".split()
+    "q rp rt ruby s samp small span strike strong sub sup time tt u var wbr td th "
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot "
+    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+    "semantics".split()
 )
+SPACED = {"br", "td", "th", "mtd"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript iframe template svg math select option".split())
+# Their text goes up to the end tag, or else up to the end of the page.
+RAW = set("script style textarea title".split())
+# Shown by other means or not at all: they go with what is inside if they are closed; of an open one
+# only the tag goes.
+CLOSED = set("iframe template svg annotation annotation-xml".split())
 CLOSES_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
 CLOSES_LIKE = {
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"},
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
+    "option": {"option"}, "optgroup": {"option", "optgroup"},
     "tbody": {"tbody", "thead", "tr"}, "tfoot": {"tbody", "thead", "tr"},
 }
 SCOPES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}}
-FURNITURE_TAGS = set("nav footer aside form button dialog menu head object".split())
+# Their end tags are often left out; what comes after is not part of them.
+CHOICES = {"select", "option", "optgroup"}
+CLOSES_CHOICES = CLOSES_P - {"hr"}
+FURNITURE_TAGS = set("nav footer aside form button dialog menu head object".split()) | CHOICES
 FURNITURE_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "menu navbar navigation nav breadcrumb breadcrumbs pagination pager footer masthead sidebar "
@@ -68,6 +81,14 @@ _NAMED = re.compile(r"(?:\s|^)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 _HIDDEN = re.compile(r"(?:\s|^)hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
+_PAIRED = {
+    name: re.compile(
+        r"<!--.*?(?:-->|\Z)|<(script|style|textarea)\b[^>]*>.*?(?:</\1\b|\Z)"
+        rf"|<(?P<end>/?)(?P<name>{name})(?=[\s/>])(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+        re.I | re.S,
+    )
+    for name in CLOSED
+}
 
 
 @dataclass
@@ -93,6 +114,20 @@ def _names(rest: str) -> tuple[str, frozenset[str]]:
     return ";".join(label), frozenset(words)
 
 
+def _closed(page: str, name: str) -> dict[int, int]:
+    """Start of every element of that name that has its end tag -> where it ends."""
+    ends, waiting = {}, []
+    for found in _PAIRED[name].finditer(page):
+        if not found["name"]:
+            continue
+        if not found["end"]:
+            if not found["rest"].endswith("/"):
+                waiting.append(found.start())
+        elif waiting:
+            ends[waiting.pop()] = found.end()
+    return ends
+
+
 def parse_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block elements as nodes, the root first, and the text blocks in page order.
 
@@ -103,6 +138,7 @@ def parse_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     blocks: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("", 0)]
     open_text: list[str] = []
+    closed: dict[str, dict[int, int]] = {}
 
     def close_block() -> None:
         if open_text:
@@ -134,7 +170,7 @@ def parse_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if found["end"] or found["end2"]:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
             if name in INLINE:
-                if name in ("td", "th"):
+                if name in SPACED and name not in VOID:
                     open_text.append(" ")
                 if depth and all(tag in INLINE for tag, _ in stack[depth:]):
                     del stack[depth:]
@@ -150,13 +186,22 @@ def parse_page(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             end = _RAW_END[name].search(page, at)
             at = end.end() if end else size
             continue
+        if name in CLOSED:
+            if name not in closed:
+                closed[name] = _closed(page, name)
+            at = closed[name].get(found.start(), at)
+            continue
         if name in INLINE:
-            if name in ("br", "td", "th"):
+            if name in SPACED:
                 open_text.append(" ")
-            if name not in VOID:
+            if name not in VOID and not (name == "math" and rest.endswith("/")):
                 stack.append((name, stack[-1][1]))
             continue
         close_block()
+        if name in CLOSES_CHOICES or name == "select":
+            depth = next((i for i, (tag, _) in enumerate(stack) if tag in CHOICES), 0)
+            if depth:
+                close_to(depth)
         if name in CLOSES_P or name in CLOSES_LIKE:
             like = CLOSES_LIKE.get(name, {"p"})
             stop = SCOPES.get(name, {"table"}) | {"article", "main", "body"} | ({"div", "section"} if like == {"p"} else set())

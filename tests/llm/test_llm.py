@@ -281,6 +281,26 @@ def test_pages(spark):
     assert html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<datalist><option>A<option>B</datalist><article><p>Story</p></article>", "Story"),
+        ("<option>A<option>B<div><p>Story</p></div>", "Story"),
+        ("<form><select><optgroup><option>A<option>B</select></form><p>Story</p>", "Story"),
+        ("<select><option>A<option>B<article><p>Story</p></article>", "Story"),
+        ("<article><p>See <svg/>here <math/>and</p><p>there</p></article>", "See here and\nthere"),
+        ("<p>See <svg><text>no</text><svg a='>'><text>no</text></svg></svg>here</p><p>on</p>", "See here\non"),
+        ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> holds</p></article>", "So x=1 holds"),
+        ("<article><noscript><p>Plain story</p></noscript></article>", "Plain story"),
+        ("<iframe src=a><p>Story</p><iframe src=b>no</iframe><template><p>no</p></template><p>End</p>", "Story\nEnd"),
+        ("<svg><path><p>Story</p><!-- </svg> --><p>End</p>", "Story\nEnd"),
+        ("<p>Story</p><script>if (a<b) '<p>'", "Story"),
+    ],
+)
+def test_open_elements_do_not_cut_the_page(html, text):
+    assert html_extract.main_text(f"<html><body>{html}", {}) == text
+
+
 def test_copies_of_a_page_count_once_on_their_host(spark):
     rng = np.random.default_rng(12)
     nav = "<div class='links'>Home News Contact</div>"
