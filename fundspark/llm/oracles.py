@@ -138,7 +138,80 @@ select doc_id, source, cast(copy as int) as copy, md5('place20:' || doc_id || ':
 from copies
 """
 
+COLLOCATIONS = f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array({_ASCII_LOWER.format("text")}, '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+), lists as (
+  select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces
+), grams as (
+  select lang, 1 as m, unnest(w) as phrase from lists
+  union all
+  select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from lists
+  union all
+  select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+  from lists
+), counted as (select lang, m, phrase, cast(count(*) as bigint) as f from grams group by all
+), totals as (select lang, cast(sum(f) as bigint) as n from counted where m = 1 group by lang
+), frequent as (select *, string_split(phrase, ' ') as w from counted where f >= 10
+), cuts as (
+  select lang, m, phrase, f as a, w, unnest(range(1, m)) as k from frequent where m > 1
+), priced as (
+  select c.lang, c.m, c.phrase, c.a, c.k, x.f as l, y.f as r,
+    cast((1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f) as bigint) as score
+  from cuts c
+  left join frequent x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.k], ' ')
+  left join frequent y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), lowest as (
+  select * from priced
+  qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inside as (
+  select lang, part as phrase, max(f) as held from (
+    select lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as part from frequent where m = 3
+  ) group by all
+), ranked as (
+  select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as bigint) as rank,
+    phrase, a, l, r, n, score
+  from lowest left join inside using (lang, phrase) join totals using (lang)
+  where held is null or 100 * held < 50 * a
+)
+select * from ranked where rank <= 2000
+"""
+
+LEXICAL = """
+with terms as (
+  select doc_id, row_number() over () as row, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as t
+  from documents
+), counts as (select doc_id, row, t, cast(count(*) as bigint) as tf from terms group by all
+), sizes as (select row, cast(sum(tf) as bigint) as n from counts group by row
+), corpus as (select cast(count(*) as bigint) as d, cast(sum(n) as bigint) as l from sizes
+), weights as (
+  select t, cast(floor(1000 * ln((2 * d + 2) / (2 * count(*) + 1))) as bigint) as w
+  from counts, corpus group by t, d
+), asked as (
+  select item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as t
+  from benchmark
+), wanted as (select item_id, t, cast(count(*) as bigint) as times from asked group by all
+), scored as (
+  select a.item_id, c.doc_id, c.row, cast(sum(
+    a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (100 - 75 + (75 * s.n * d) // l)))) as bigint) as score
+  from wanted a join weights w using (t) join counts c using (t) join sizes s using (row), corpus
+  group by a.item_id, c.doc_id, c.row
+), ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score
+  from scored where score > 0
+)
+select * from ranked where rank <= 10
+"""
+
 ORACLES = {
+    "op11_collocations": COLLOCATIONS,
+    "op12_lexical": LEXICAL,
     "op1_near_dedup": NEAR_DEDUP,
     "op6_topk": TOP_PRODUCTS,
     "op8_licenses": _license_sql(),

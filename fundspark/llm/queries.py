@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundspark.llm.ann import nearest_neighbours
+from fundspark.llm.collocations import collocations
 from fundspark.llm.html_extract import extract_pages
 from fundspark.llm.langid import identify, train_languages
+from fundspark.llm.lexical import rank_documents
 from fundspark.llm.licenses import scan_licenses
 from fundspark.llm.mixing import mix_sources, source_rates
 from fundspark.llm.near_dedup import near_duplicates
 from fundspark.llm.oracles import ORACLES
 from fundspark.llm.packing import pack
 from fundspark.llm.quality import score_quality, train_quality
+from fundspark.llm.subwords import encode_documents
 from fundspark.llm.topk import top_products
 from fundspark.llm.warc import read_archives, write_archives
 
 TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 SEED = 20
 
 
@@ -27,6 +33,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def piece_model() -> bytes:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(PIECE_MODEL)).read_bytes()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -96,11 +108,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, rates, seed=SEED).select("doc_id", "source", "copy", "position")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=10, longest=3, percent=50, first=2_000)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), piece_model(), end_id=2)
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_quality, op3_ann, op4_langid, op5_html, op6_topk, op7_packing,
-        op8_licenses, op9_warc, op10_mixing,
+        op8_licenses, op9_warc, op10_mixing, op11_collocations, op12_lexical, op13_subwords,
     )
 }
 LLM_ORACLES = {name: sql for name, sql in ORACLES.items() if name in LLM_QUERIES}
