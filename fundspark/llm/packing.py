@@ -16,32 +16,35 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 from pathlib import Path
 from types import ModuleType
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundspark.llm.words import bounded, byte_kinds, column_bytes, split_words
 from fundspark.operators.lineage import materialise
 
-WORDS_KEPT = 600_000
-TEXTS_AT_ONCE = 512
+PIECES_KEPT = 1_000_000
+PIECES_AT_ONCE = 2_000
+# White space inside texts whose words are encoded one by one.
+_SPACES = byte_kinds(b"\t\n\r ")
 # Characters for which splitting at white space first cannot change the tokens: composed Latin
-# letters, ASCII, and the three white spaces. Other texts go to the tokenizer whole.
-_OTHER = re.compile("[^\t\n\r -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]")
+# letters and ASCII. Texts with other ones go to the tokenizer whole.
+_OTHER = re.compile("[^!-~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f]")
 # What the tokenizer makes pieces of within a word of such characters.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+WORD_END = "</w>"
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class Encoder:
-    """Token ids of whole texts, as little-endian bytes; words are encoded once and remembered.
+    """Token ids of whole texts; a word is encoded once and remembered.
 
     Only for a tokenizer that drops white space and lower-cases, whose pieces never cross a white
-    space; any other one gets all texts whole.
+    space and end in a token of their own kind; any other one gets all texts whole.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -53,37 +56,70 @@ class Encoder:
         normalizer = layout.get("normalizer") or {}
         steps = {x.get("type") for x in normalizer.get("normalizers", [normalizer])}
         splits = str((layout.get("pre_tokenizer") or {}).get("pretokenizers", ""))
-        self.by_word = {"Replace", "Lowercase"} <= steps and "[^\\\\s\\\\p{L}\\\\p{N}]+" in splits
-        self.words: dict[str, bytes] = {}
+        suffix = layout["model"].get("end_of_word_suffix") == WORD_END
+        self.by_word = suffix and {"Replace", "Lowercase"} <= steps and "[^\\\\s\\\\p{L}\\\\p{N}]+" in splits
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith(WORD_END)]] = True
         self.pieces: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, lists: list[list[str]]) -> None:
-        words, pieces = self.words, self.pieces
-        fresh = set().union(*lists)
-        if len(words) + len(fresh) > WORDS_KEPT:
-            words.clear()
-            pieces.clear()
-        fresh.difference_update(words)
-        split = {word: _PIECE.findall(word) for word in fresh}
-        missing = list(set(chain.from_iterable(split.values())).difference(pieces))
-        found = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-        for piece, encoding in zip(missing, found, strict=True):
-            pieces[piece] = array("I", encoding.ids).tobytes()
-        for word, parts in split.items():
-            words[word] = b"".join(map(pieces.__getitem__, parts))
+    def _learn(self, pieces: list[str]) -> None:
+        """Many pieces go to the tokenizer as one text; tokens that end a piece tell them apart."""
+        for start in range(0, len(pieces), PIECES_AT_ONCE):
+            part = pieces[start : start + PIECES_AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
+            cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+            if len(cuts) == len(part) + 1 and cuts[-1] == 4 * len(ids):
+                laid = ids.tobytes()
+                self.pieces.update(zip(part, map(laid.__getitem__, map(slice, cuts, cuts[1:])), strict=False))
+            else:
+                self.pieces.update((piece, self.whole(piece)) for piece in part)
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes | None]:
+        """Ids of words; None where a text must go to the tokenizer whole."""
+        split: list[list[str] | None] = []
+        for word in words:
+            text = word.decode()
+            if text.isascii() and text.isalpha():
+                split.append([text])
+            elif _OTHER.search(text) or "<|" in text:
+                split.append(None)
+            else:
+                split.append(_PIECE.findall(text.lower()))
+        if len(self.pieces) > PIECES_KEPT:
+            self.pieces.clear()
+        known = self.pieces
+        self._learn(list({x for parts in split if parts for x in parts if x not in known}))
+        return [
+            None if parts is None else known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts))
+            for parts in split
+        ]
+
+    def block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, dict[int, bytes]]:
+        """``(bytes, ends, whole)``: little-endian ids of all texts in a row, where each text's begin
+        and end, and the ids of texts that were not encoded by words."""
+        if not self.by_word:
+            whole = {i: self.whole(x) for i, x in enumerate(texts.to_pylist())}
+            return np.empty(0, np.uint8), np.zeros(len(texts) + 1, np.int64), whole
+        found = split_words(texts, _SPACES)
+        ids = pa.array(self._ids_of(found.words.to_pylist()), pa.large_binary())
+        unknown = ids.is_null().to_numpy(zero_copy_only=False)
+        whole = {}
+        if unknown.any():
+            for i in np.unique(found.doc[unknown[found.codes]]).tolist():
+                whole[i] = self.whole(texts[i].as_py())
+        laid = ids.fill_null(b"").take(pa.array(found.codes))
+        data, offsets = column_bytes(laid)
+        return data, offsets[np.searchsorted(found.doc, np.arange(len(texts) + 1))], whole
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        for start in range(0, len(texts), TEXTS_AT_ONCE):
-            block = [text or "" for text in texts[start : start + TEXTS_AT_ONCE]]
-            plain = [self.by_word and "<|" not in x and not _OTHER.search(x) for x in block]
-            lists = [x.lower().split() if fast else [] for x, fast in zip(block, plain, strict=True)]
-            self._learn(lists)
-            known = self.words.__getitem__
-            for text, fast, words in zip(block, plain, lists, strict=True):
-                yield b"".join(map(known, words)) if fast else self.whole(text)
+        data, ends, whole = self.block(pa.array([x or "" for x in texts], pa.string()))
+        for i in range(len(texts)):
+            yield whole[i] if i in whole else data[ends[i] : ends[i + 1]].tobytes()
 
 
 def worker_encoder(tokenizer_json: str) -> Encoder:
@@ -96,17 +132,35 @@ def worker_encoder(tokenizer_json: str) -> Encoder:
 
 
 def _pieces(tokenizer_json: str, capacity: int, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = worker_encoder(tokenizer_json), np.array([end_id], "<u4").tobytes()
+        step = 4 * capacity
         for batch in batches:
-            rows = []
-            for doc_id, ids in zip(batch["id"], encode(batch["text"].tolist()), strict=True):
-                ids += end
-                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[start : start + 4 * capacity]
-                    rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+            for part in bounded(batch):
+                data, ends, whole = encode.block(part.column("text"))
+                laid = memoryview(data)
+                row, piece, start, length, crc = [], [], [], [], []
+                for i, (low, high) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                    ids = whole[i] + end if i in whole else laid[low:high]
+                    if i not in whole and (high - low) + 4 <= step:
+                        # Nearly all texts are one piece.
+                        found = [(0, (high - low) // 4 + 1, zlib.crc32(end, zlib.crc32(ids)))]
+                    else:
+                        ids = bytes(ids) if i in whole else bytes(ids) + end
+                        cuts = [ids[at : at + step] for at in range(0, len(ids), step)]
+                        found = [(n * capacity, len(x) // 4, zlib.crc32(x)) for n, x in enumerate(cuts)]
+                    for n, (at, size, checksum) in enumerate(found):
+                        row.append(i)
+                        piece.append(n)
+                        start.append(at)
+                        length.append(size)
+                        crc.append(checksum)
+                columns = [
+                    part.column("id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+                ]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -123,9 +177,10 @@ def tokenised_pieces(
     """Every document's ids and ``end_id``, cut only where it is longer than ``capacity``."""
     tokenizer_json = Path(tokenizer_path).read_text(encoding="utf-8")
     texts = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("long").alias("id"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    return texts.mapInPandas(_pieces(tokenizer_json, capacity, end_id), PIECE_SCHEMA)
+    return texts.mapInArrow(_pieces(tokenizer_json, capacity, end_id), PIECE_SCHEMA)
 
 
 def fullest(lengths: dict[int, int], capacity: int) -> list[tuple[int, int]]:
