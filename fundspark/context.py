@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, time, timedelta
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +61,15 @@ class RunContext:
     # Width of the time slices that as-of joins add to their key.
     asof_bucket_days: int = 365
     match_bucket_days: int = 64
+    # A product with more lines in a run is dealt to several tasks.
+    hot_rows: int = 2_000_000
+
+    # When the run started, as its caller says; midnight of the run date without.
+    started_at: datetime | None = None
+
+    @property
+    def load_time(self) -> datetime:
+        return self.started_at or datetime.combine(self.as_of, time(0), UTC)
 
     @property
     def window(self) -> tuple[date, date]:

@@ -14,12 +14,14 @@ from fundspark.functions.money import NUMERIC, coalesce_zero, convert, net_of_va
 from fundspark.operators.catalog import catalog_vendor_products
 from fundspark.operators.dedup import first_per_key, newest_first, tie_break
 from fundspark.operators.nested import sorted_list
-from fundspark.operators.skew import all_of, bounded_join
+from fundspark.operators.skew import all_of, bounded_join, hot_keys, lookup_join
 from fundspark.operators.temporal import (
     OPEN_END,
     OPEN_START,
     SLICE,
+    History,
     asof_join,
+    carry_asof,
     scd2_from_events,
     with_neighbour,
     with_time_slice,
@@ -98,29 +100,28 @@ def normalise_quantity(
 ) -> DataFrame:
     """Express quantities of weight-step products as a number of steps.
 
-    Only one entity sells in steps: its lines alone are shuffled for the lookup, all others pass
-    by. Both halves are a filter on the entity, which reaches the scan.
+    Only one entity sells in steps. Lines of the others have no key for the lookup, so they are
+    spread by a hash and the plan has one branch, whatever came before.
     """
     if not ctx.weight_step_entity:
         return lines
-    entity = F.col("global_entity_id")
-    keyed = steps.withColumnRenamed("global_catalog_id", "__step_id")
-    joined = (
-        lines.where(entity == ctx.weight_step_entity)
-        .withColumn("__step_id", F.col(catalog_key))
-        .join(keyed, ["global_entity_id", "platform_vendor_id", "__step_id", "sku"], "left")
+    mine = F.col("global_entity_id") == ctx.weight_step_entity
+    keyed = lines.withColumn("__step_id", F.when(mine, F.col(catalog_key)))
+    joined = lookup_join(
+        keyed,
+        steps,
+        ["global_entity_id", "platform_vendor_id", "sku", "__step_id"],
+        ["global_entity_id", "platform_vendor_id", "sku", "global_catalog_id"],
+        spread_by=["order_id", "picking_order_item_id"],
     )
-    stepped = joined.withColumns(
-        {
-            q: F.when(
-                F.col("weight_step").isNotNull(),
-                F.round(F.try_divide(F.col(q), F.col("weight_step").cast("double")), 2),
-            ).otherwise(F.col(q))
-            for q in QUANTITIES
-        }
-    ).select(*lines.columns)
-    others = lines.where(entity.isNull() | (entity != ctx.weight_step_entity))
-    return stepped.unionByName(others)
+    in_steps = {
+        q: F.when(
+            F.col("weight_step").isNotNull(),
+            F.round(F.try_divide(F.col(q), F.col("weight_step").cast("double")), 2),
+        ).otherwise(F.col(q))
+        for q in QUANTITIES
+    }
+    return joined.withColumns(in_steps).select(*lines.columns)
 
 
 # --- validity intervals -------------------------------------------------------------------------
@@ -297,6 +298,44 @@ def attribute_asof(lines: DataFrame, log: DataFrame, ctx: RunContext) -> DataFra
     return lines.select(*kept, *ATTRIBUTES)
 
 
+def product_histories(
+    lines: DataFrame,
+    *,
+    vat: DataFrame,
+    prices: DataFrame,
+    sales_buffers: DataFrame,
+    attribute_log: DataFrame,
+    ctx: RunContext,
+    last_day: date | None = None,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """VAT, listed price, sales buffer and the four weight attributes of a product at order time.
+
+    The same columns as ``vat_asof``, ``price_asof``, ``sales_buffer_asof`` and ``attribute_asof``
+    one after another, from one merge of all seven histories: the lines move once, by product and
+    time slice. ``hot`` are the products to deal to several tasks (``hot_keys``).
+    """
+    if last_day is not None:
+        sales_buffers = sales_buffers.where(F.to_date("valid_from_lt") <= F.lit(last_day))
+    changes = attribute_changes(attribute_log, ctx)
+    histories = [
+        History(vat, FULFILLED_PRODUCT, {"__vat": "history_vat_rate"}),
+        History(_since(prices, "valid_from_lt", ctx), FULFILLED_PRODUCT, {"__listed": "original_price_lc"}),
+        History(sales_buffers, SOLD_PRODUCT, {"sales_buffer": "sales_buffer"}),
+    ]
+    for out, (field, kind) in ATTRIBUTES.items():
+        value = F.col("updated_value")
+        typed = value.try_cast(kind) if field in LENIENT_FIELDS else value.cast(kind)
+        of_field = changes.where(F.col("updated_field") == field).withColumn("__value", typed)
+        histories.append(History(of_field, SOLD_PRODUCT, {out: "__value"}))
+    carried = carry_asof(
+        lines, histories, ORDER_TIME, common="global_catalog_id",
+        spread_by=["order_id", "picking_order_item_id"], hot=hot, **_asof(ctx),
+    )
+    rate = F.coalesce(F.col("__vat").cast(NUMERIC).cast("double"), F.col("vat_percentage"))
+    return price_columns(carried.withColumn("product_vat_rate", rate)).drop("__vat", "__listed")
+
+
 def weight_fields(lines: DataFrame) -> DataFrame:
     """Weights of weightable products, and the attributes as one struct."""
     by_weight = F.coalesce("is_sold_by_weight", F.lit(False))
@@ -605,9 +644,8 @@ def order_lines_curated(
     fx: DataFrame,
     ctx: RunContext,
 ) -> DataFrame:
-    """The full order line. Joins on the same key stand next to each other, so the lines move
-    once for the selling entity's product, once for the fulfilling entity's product, and so on,
-    not once per history."""
+    """The full order line. The seven histories of a product are merged in one pass over the lines,
+    which move once for all of them."""
     dated = lines.withColumn("country_code", country_of(F.col("global_entity_id")))
     stream = ctx.stream_range(1, 1)
     if stream is not None:
@@ -628,10 +666,17 @@ def order_lines_curated(
     )
     out = out.join(places, ["global_entity_id", "platform_vendor_id"], "left")
     out = cost_asof(out, wac, ctx)
-    out = vat_asof(out, vat_intervals(vat_events, last_day), ctx)
-    out = price_asof(out, price_history, ctx)
-    out = sales_buffer_asof(out, sales_buffers, ctx, last_day)
-    out = attribute_asof(out, attribute_log, ctx)
+    out = product_histories(
+        out,
+        vat=vat_intervals(vat_events, last_day),
+        prices=price_history,
+        sales_buffers=sales_buffers,
+        attribute_log=attribute_log,
+        ctx=ctx,
+        last_day=last_day,
+        # Ids that are resolved later are not counted; that only affects the balance.
+        hot=hot_keys(dated, "global_catalog_id", ctx.hot_rows),
+    )
     out = two_key_match(out, line_campaigns)
     out = fx_convert(out, fx, EUR_OF_LOCAL)
     out = unit_economics(out)

@@ -65,5 +65,15 @@ def lookup_join(
     return joined.select(*[lhs[c] for c in left.columns], *[rhs[c] for c in values])
 
 
+def hot_keys(facts: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """``key, __parts``: keys with more than ``hot_rows`` rows, and how many parts they make.
+
+    At most rows / hot_rows keys, whatever the data. Counted with a partial count per task.
+    """
+    counted = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    parts = F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int")
+    return counted.where(F.col("__n") > hot_rows).select(key, parts.alias("__parts"))
+
+
 def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,3 +138,107 @@ def asof_join(
     upper = hist["__to"] >= lhs[ts] if closed == "both" else hist["__to"] > lhs[ts]
     joined = lhs.join(hist, all_of([*conditions, hist["__from"] <= lhs[ts], upper]), "left")
     return joined.select(*[lhs[c] for c in facts.columns], *[hist[name] for name in values])
+
+
+@dataclass(frozen=True)
+class History:
+    """Versions of one fact table to carry along: which fact columns it is looked up by, and what
+    it gives. Versions of one key must not overlap, as intervals made from changes never do."""
+
+    rows: DataFrame
+    on: Mapping[str, str]
+    values: Mapping[str, str]
+    valid_from: str = "valid_from_utc"
+    valid_to: str = "valid_to_utc"
+
+
+def carry_asof(
+    facts: DataFrame,
+    histories: Sequence[History],
+    ts: str,
+    *,
+    common: str,
+    spread_by: Sequence[str],
+    hot: DataFrame | None = None,
+    bounds: tuple[date, date] | None = None,
+    bucket_days: int | None = None,
+) -> DataFrame:
+    """Left join facts to several histories as of ``ts`` by one merge of all their rows.
+
+    Facts and versions of one key form one stream in time order, and every fact takes the version
+    that started last before it, unless that has ended: half-open intervals ``[from, to)``. The work
+    of a key is its rows, not facts times versions, and facts move once for all histories: all of
+    them are looked up by ``common`` and perhaps further columns, and the stream is dealt by
+    ``common`` and time slice.
+
+    Nothing relies on settings of the session. A key that ``hot_keys`` names is dealt to parts by a
+    hash of ``spread_by``, each with its own copy of the key's versions; facts without a key meet
+    nothing and are spread by the same hash. ``hot`` only balances: stale counts give equal rows.
+    Of versions of one key that start together the one that ends last counts, then the largest
+    values.
+    """
+    at, is_fact, part = "__at", "__is_fact", "__part"
+    sliced = bounds is not None and bool(bucket_days)
+    lhs = facts
+    if sliced and SLICE not in facts.columns:
+        lhs = with_time_slice(facts, ts, bounds, bucket_days)
+    spread = F.xxhash64(*spread_by)
+    if hot is not None:
+        lhs = lhs.join(F.broadcast(hot), common, "left")
+        inside = F.pmod(spread, F.coalesce("__parts", F.lit(1)).cast("bigint"))
+    else:
+        inside = F.lit(0).cast("bigint")
+    lhs = lhs.withColumns(
+        {
+            part: F.when(F.col(common).isNull(), spread).otherwise(inside),
+            at: F.col(ts),
+            is_fact: F.lit(True),
+        }
+    ).drop("__parts")
+    dealt_by = [common, *([SLICE] if sliced else []), part]
+    streams = [lhs]
+    for i, history in enumerate(histories):
+        start, end = F.col(history.valid_from), F.col(history.valid_to)
+        version = F.struct(
+            end.cast("timestamp").alias("to"),
+            *[F.col(c).alias(name) for name, c in history.values.items()],
+        )
+        events = history.rows.where(start < end).select(
+            *[F.col(c).cast(facts.schema[name].dataType).alias(name) for name, c in history.on.items()],
+            start.cast("timestamp").alias(at),
+            F.lit(False).alias(is_fact),
+            version.alias(f"__h{i}"),
+        )
+        events = events.where(all_of([F.col(c).isNotNull() for c in history.on]))
+        if sliced:
+            first, last = (time_slice(c, bounds, bucket_days) for c in (F.col(at), F.col(f"__h{i}")["to"]))
+            events = events.withColumn(SLICE, F.explode(F.sequence(first, last)))
+        if hot is not None:
+            last_part = F.coalesce("__parts", F.lit(1)).cast("bigint") - 1
+            copies = F.explode(F.sequence(F.lit(0).cast("bigint"), last_part))
+            events = events.join(F.broadcast(hot), common, "left").withColumn(part, copies)
+            events = events.drop("__parts")
+        else:
+            events = events.withColumn(part, F.lit(0).cast("bigint"))
+        streams.append(events)
+    stream = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), streams)
+    # Dealt once by what all keys share: rows of every longer key are then together as well.
+    stream = stream.repartition(*dealt_by)
+    by_key: dict[tuple[str, ...], list[int]] = {}
+    for i, history in enumerate(histories):
+        by_key.setdefault(tuple(c for c in history.on if c != common), []).append(i)
+    for rest, numbers in by_key.items():
+        window = (
+            Window.partitionBy(*dealt_by, *rest)
+            .orderBy(at, is_fact, *[f"__h{i}" for i in numbers])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        carried = {f"__h{i}": F.last(f"__h{i}", ignorenulls=True).over(window) for i in numbers}
+        stream = stream.withColumns(carried)
+    found = {
+        name: F.when(F.col(f"__h{i}")["to"] > F.col(at), F.col(f"__h{i}")[name])
+        for i, history in enumerate(histories)
+        for name in history.values
+    }
+    merged = stream.where(is_fact)
+    return merged.select(*facts.columns, *[value.alias(name) for name, value in found.items()])

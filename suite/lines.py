@@ -18,6 +18,7 @@ from fundspark.operators.feeds import (
     renamed,
 )
 from fundspark.operators.nested import unfold
+from fundspark.operators.skew import hot_keys
 from suite.model import FULL, Inputs, near, register, rounded, sql_near, sql_rounded
 
 LINE = ["order_id", "picking_order_item_id"]
@@ -228,6 +229,49 @@ def _(x):
     return lines.select(*LINE, *rounded(*WEIGHTS), *SOLD_BY)
 
 
+HISTORIES_SQL = f"""with {VAT_SQL}, {CHANGES_SQL}
+  select {LINE_SQL}, {sql_near('coalesce(v.rate, l.vat_percentage)', 6)} as product_vat_rate,
+    {sql_near(LISTED)} as unit_price_listed_lc,
+    {sql_near(f'coalesce(greatest({LISTED} - l.unit_price_paid_lc, 0), 0)')} as unit_discount_lc,
+    b.sales_buffer, {ATTRIBUTE_SQL}
+  from f_lines_raw as l
+    {history_join("vat", "v", "fulfilled_by_entity")}
+    {history_join("f_price_history", "p", "fulfilled_by_entity")}
+    {history_join("f_buffer_history", "b", "global_entity_id")}
+    {ATTRIBUTE_JOINS}"""
+
+
+def all_histories(x: Inputs, hot_rows: int):
+    lines = x("f_lines_raw")
+    found = ops.product_histories(
+        lines,
+        vat=ops.vat_intervals(x("f_vat_events")),
+        prices=x("f_price_history"),
+        sales_buffers=x("f_buffer_history"),
+        attribute_log=x("f_attribute_log"),
+        ctx=FULL,
+        hot=hot_keys(lines, "global_catalog_id", hot_rows),
+    )
+    return found.select(
+        *LINE,
+        *rounded("product_vat_rate", digits=6),
+        *rounded("unit_price_listed_lc", "unit_discount_lc", *WEIGHTS),
+        "sales_buffer",
+        *SOLD_BY,
+    )
+
+
+@register("product_histories", HISTORIES_SQL)
+def _(x):
+    return all_histories(x, FULL.hot_rows)
+
+
+@register("product_histories_split", HISTORIES_SQL)
+def _(x):
+    """As above with every product of more than 20 lines dealt to several tasks."""
+    return all_histories(x, 20)
+
+
 KG_SQL = "coalesce(is_sold_by_weight, false) or coalesce(is_sold_by_piece, false)"
 WEIGHT_NAMES = {
     "ordered_weight": "quantity_ordered", "delivered_weight": "quantity_delivered",
