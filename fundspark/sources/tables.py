@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundspark.sources.schemas import align
+from fundspark.sources.versions import has_version, read_version, replace_version
 
 
-def read_table(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
-    """Full scan of a Parquet table, optionally brought to a declared schema."""
-    df = spark.read.parquet(path)
+def read_table(
+    spark: SparkSession, path: str, ddl: str | None = None, version: int | None = None
+) -> DataFrame:
+    """Full scan of a Parquet table, optionally brought to a declared schema.
+
+    Of a table that ``replace_table`` wrote, the newest version, or the one asked for.
+    """
+    df = read_version(spark, path, version) if has_version(spark, path) else spark.read.parquet(path)
     return align(df, ddl) if ddl else df
 
 
@@ -44,16 +50,13 @@ def enabled_entities(spark: SparkSession, entities: Sequence[str]) -> DataFrame:
 
 def replace_table(
     df: DataFrame, path: str, *, cluster_by: Sequence[str] = (), ddl: str | None = None
-) -> None:
-    """Replace a table. With ``cluster_by`` rows are range-partitioned and sorted on those keys,
-    so Parquet statistics let readers skip files. A hash of the row ends the range key, which
-    spreads a frequent cluster key over several writers.
+) -> int:
+    """Replace a table at once; returns the number of its new version.
+
+    Until the last step readers see the old rows, also if writing fails. With ``cluster_by`` readers
+    that filter on these keys skip files.
     """
-    out = align(df, ddl) if ddl else df
-    if cluster_by:
-        ranges = [*[F.col(c) for c in cluster_by], F.xxhash64(*out.columns)]
-        out = out.repartitionByRange(*ranges).sortWithinPartitions(*cluster_by)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return replace_version(align(df, ddl) if ddl else df, path, cluster_by=cluster_by)
 
 
 def shared_view(
