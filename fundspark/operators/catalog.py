@@ -120,9 +120,7 @@ def catalog_nested(
         "vendor_products",
         F.struct(*VENDOR_PRODUCT_FIELDS, created_by),
         split_on=["catalog_vendor_product_id", "warehouse_id"],
-    )
-    flags = vendor_products.groupBy(*CHAIN_KEYS).agg(
-        F.bool_or("has_own_brand_category").alias("has_own_brand_category")
+        flags={"has_own_brand_category": "has_own_brand_category"},
     )
     known = sources.select(
         "global_entity_id", F.col("chain_id").alias("catalog_chain_id"), F.lit(True).alias("__in")
@@ -130,7 +128,7 @@ def catalog_nested(
     own_brand = F.col("is_own_brand") | (
         F.col("brand_name_english").isin(*OWN_BRANDS) & F.col("has_own_brand_category")
     )
-    joined = chain.join(flags, CHAIN_KEYS, "left").join(documents, CHAIN_KEYS, "left")
+    joined = chain.join(documents, CHAIN_KEYS, "left")
     return bounded_join(joined, known, ["global_entity_id", "catalog_chain_id"], "left").select(
         *[c for c in CHAIN_PRODUCT_FIELDS if c not in ("is_own_brand",)],
         F.coalesce("product_description_english", "product_description_local").alias(

@@ -16,25 +16,45 @@ def sorted_list(element: Column) -> Column:
     return F.sort_array(F.collect_list(element))
 
 
-def _collected(rows: DataFrame, keys: Sequence[str], split_on: Column, arrays: Mapping[str, Column]):
+def _collected(
+    rows: DataFrame,
+    keys: Sequence[str],
+    split_on: Column,
+    arrays: Mapping[str, Column],
+    flags: Mapping[str, str] | None = None,
+) -> DataFrame:
     """One row per key with sorted arrays, collected in two steps.
 
     The elements of a group meet first in ``SPREAD`` sub-groups chosen by a hash of their identity;
     only finished partial arrays come together per key. A long group costs no task more than the
     document it becomes.
     """
+    flags = flags or {}
     part = F.pmod(F.xxhash64(split_on), F.lit(SPREAD)).alias("__part")
-    partial = rows.groupBy(*keys, part).agg(*[F.collect_list(e).alias(n) for n, e in arrays.items()])
+    partial = rows.groupBy(*keys, part).agg(
+        *[F.collect_list(e).alias(n) for n, e in arrays.items()],
+        *[F.bool_or(c).alias(n) for n, c in flags.items()],
+    )
     return partial.groupBy(*keys).agg(
-        *[F.sort_array(F.flatten(F.collect_list(n))).alias(n) for n in arrays]
+        *[F.sort_array(F.flatten(F.collect_list(n))).alias(n) for n in arrays],
+        *[F.bool_or(n).alias(n) for n in flags],
     )
 
 
 def fold(
-    rows: DataFrame, keys: Sequence[str], out: str, element: Column, *, split_on: Sequence[str]
+    rows: DataFrame,
+    keys: Sequence[str],
+    out: str,
+    element: Column,
+    *,
+    split_on: Sequence[str],
+    flags: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One document per key with the array ``out``; ``split_on`` is the identity of an element."""
-    return _collected(rows, keys, F.struct(*split_on), {out: element})
+    """One document per key with the array ``out``; ``split_on`` is the identity of an element.
+
+    ``flags`` maps an output to a boolean column: whether it holds for any of the key's rows.
+    """
+    return _collected(rows, keys, F.struct(*split_on), {out: element}, flags)
 
 
 def fold_many(

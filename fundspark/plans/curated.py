@@ -13,9 +13,27 @@ from fundspark.operators import feeds
 from fundspark.operators.lineage import materialise
 from fundspark.operators.lines import order_line_campaigns, order_lines_curated
 from fundspark.operators.orders import orders_curated, orders_nested_promos
+from fundspark.operators.quality import REPORT, TableChecks, checked_table
+from fundspark.plans.checks import CAMPAIGN_CHECKS, CATALOG_CHECKS, ORDER_CHECKS
 from fundspark.streaming.refresh import stream_filter
 
 
+class CheckedTables:
+    """Tables of one run as they are written, and one report of all their checks."""
+
+    def __init__(self, checks: dict[str, TableChecks]):
+        self.checks, self.rows = checks, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        table, rows = checked_table(df, name, self.checks[name])
+        self.rows += rows
+        return table
+
+    def report(self, df: DataFrame) -> DataFrame:
+        """``table_name, check_name, subject, violations, passed``; one row per declared check."""
+        return df.sparkSession.createDataFrame(self.rows, REPORT)
+
+
 @dataclass(frozen=True)
 class CampaignFeeds:
     campaigns: DataFrame
@@ -27,7 +45,8 @@ class CampaignFeeds:
 
 
 def run_campaigns(raw: CampaignFeeds, ctx: RunContext) -> dict[str, DataFrame]:
-    """Clean campaign tables and the published campaign documents."""
+    """Clean campaign tables, the published campaign documents, and the report of their checks."""
+    run = CheckedTables(CAMPAIGN_CHECKS)
     header = campaign_ops.campaigns_clean(raw.campaigns)
     benefits = feeds.benefits_merge(raw.benefits_new, feeds.benefits_old_clean(raw.benefits_old))
     triggers = feeds.triggers_merge(
@@ -40,11 +59,12 @@ def run_campaigns(raw: CampaignFeeds, ctx: RunContext) -> dict[str, DataFrame]:
         "triggers": triggers,
         "campaign_vendors": vendors,
     }
-    clean = {name: materialise(df, name) for name, df in tables.items()}
+    clean = {name: run.write(df, name) for name, df in tables.items()}
     nested = campaign_ops.campaigns_nested(
         clean["campaigns"], clean["benefits"], clean["triggers"], clean["campaign_vendors"], ctx
     )
-    return {**clean, "campaigns_nested": campaign_ops.campaigns_curated(nested)}
+    published = run.write(campaign_ops.campaigns_curated(nested), "campaigns_nested")
+    return {**clean, "campaigns_nested": published, "report": run.report(published)}
 
 
 @dataclass(frozen=True)
@@ -58,7 +78,8 @@ class CatalogFeeds:
     sources: DataFrame
 
 
-def run_catalog(raw: CatalogFeeds, ctx: RunContext) -> DataFrame:
+def run_catalog(raw: CatalogFeeds, ctx: RunContext) -> dict[str, DataFrame]:
+    """The catalog documents and the report of their checks."""
     flags = catalog_ops.vendor_products_flags(
         raw.vendor_products,
         catalog_ops.vendor_warehouses(raw.warehouses),
@@ -67,7 +88,9 @@ def run_catalog(raw: CatalogFeeds, ctx: RunContext) -> DataFrame:
         raw.locations,
     )
     flagged = materialise(flags, "vendor_products_flags")
-    return catalog_ops.catalog_nested(raw.chain_products, flagged, raw.sources, ctx)
+    run = CheckedTables(CATALOG_CHECKS)
+    catalog = run.write(catalog_ops.catalog_nested(raw.chain_products, flagged, raw.sources, ctx), "catalog")
+    return {"catalog": catalog, "report": run.report(catalog)}
 
 
 @dataclass(frozen=True)
@@ -111,10 +134,11 @@ def run_orders(raw: OrderFeeds, dims: OrderDimensions, ctx: RunContext) -> dict[
     orders = feeds.orders_clean(days(raw.cart_orders), days(raw.app_orders))
     items = feeds.order_items_clean(days(raw.cart_items), days(raw.app_items))
     campaigns = feeds.order_campaigns_clean(days(raw.cart_campaigns), days(raw.app_campaigns))
+    run = CheckedTables(ORDER_CHECKS)
     clean = {
-        "orders_clean": materialise(orders, "orders_clean"),
-        "items_clean": materialise(items, "items_clean"),
-        "order_campaigns_clean": materialise(campaigns, "order_campaigns_clean"),
+        "orders_clean": run.write(orders, "orders_clean"),
+        "items_clean": run.write(items, "items_clean"),
+        "order_campaigns_clean": run.write(campaigns, "order_campaigns_clean"),
     }
     promos = materialise(orders_nested_promos(*clean.values(), dims.fx, ctx), "promo_orders")
     line_campaigns = materialise(
@@ -145,4 +169,5 @@ def run_orders(raw: OrderFeeds, dims: OrderDimensions, ctx: RunContext) -> dict[
         "line_campaigns": line_campaigns,
         "order_lines": lines,
         "orders": orders_curated(raw.headers, lines, raw.ranks, ctx),
+        "report": run.report(lines),
     }

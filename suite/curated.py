@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import date
+import contextlib
+from dataclasses import replace
+from datetime import date, timedelta
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from fundspark.operators import feeds
-from fundspark.operators.lineage import work_path
+from fundspark.operators.lineage import materialise, work_path
+from fundspark.operators.quality import TableChecks
+from fundspark.plans.checks import CAMPAIGN_CHECKS, CATALOG_CHECKS, ORDER_CHECKS
 from fundspark.plans.curated import (
     CampaignFeeds,
     OrderDimensions,
@@ -16,11 +21,19 @@ from fundspark.plans.curated import (
     run_orders,
 )
 from fundspark.sources.tables import literal_rows, read_partitions, read_table, replace_table
-from fundspark.streaming.refresh import lookback_filter, refresh_partitions
+from fundspark.streaming.backfill import Ledger, run_backfill
+from fundspark.streaming.fingerprints import refresh_changed
+from fundspark.streaming.refresh import (
+    backfill_filter,
+    lookback_filter,
+    read_refreshed,
+    refresh_partitions,
+)
 from suite.campaigns import SHAPED_SQL, SUBTYPE_SQL
+from suite.catalog import catalog_run
 from suite.feeds import MERGED_ITEMS_SQL, MERGED_ORDERS_SQL
 from suite.lines import CURATED_SQL, DAILY, order_headers
-from suite.model import FULL, Inputs, near, register, sql_near
+from suite.model import FULL, QUERIES, Inputs, near, register, sql_near
 
 # Benefits and triggers come from two feeds; a key that is in both counts once.
 CHILDREN_SQL = """
@@ -42,6 +55,18 @@ counted as (
   from children group by all)"""
 
 
+def campaigns_run(x: Inputs):
+    raw = CampaignFeeds(
+        campaigns=x("f_campaigns_raw"),
+        benefits_new=x("f_benefits_new_raw"),
+        benefits_old=x("f_benefits_old_raw"),
+        triggers_new=x("f_triggers_new"),
+        triggers_old=x("f_triggers_old_raw"),
+        vendors=x("f_campaign_vendors_raw"),
+    )
+    return run_campaigns(raw, FULL)
+
+
 @register(
     "curated_campaigns_run",
     f"""with {SHAPED_SQL}, {CHILDREN_SQL}
@@ -53,23 +78,14 @@ counted as (
       and n.campaign_id = s.campaign_id""",
 )
 def _(x):
-    raw = CampaignFeeds(
-        campaigns=x("f_campaigns_raw"),
-        benefits_new=x("f_benefits_new_raw"),
-        benefits_old=x("f_benefits_old_raw"),
-        triggers_new=x("f_triggers_new"),
-        triggers_old=x("f_triggers_old_raw"),
-        vendors=x("f_campaign_vendors_raw"),
-    )
     sizes = {"benefits": "benefit_count", "triggers": "trigger_count", "vendors": "vendor_count"}
-    return run_campaigns(raw, FULL)["campaigns_nested"].select(
+    return campaigns_run(x)["campaigns_nested"].select(
         "country_code", "campaign_id", "campaign_name", "is_valid", "campaign_subtype",
         *[F.size(a).cast("bigint").alias(n) for a, n in sizes.items()],
     )
 
 
 def orders_run(x: Inputs, ctx):
-    """Order documents of a whole run, with the number of products of the promo order."""
     raw = OrderFeeds(
         cart_orders=x("f_cart_orders"),
         app_orders=x("f_app_orders"),
@@ -94,7 +110,12 @@ def orders_run(x: Inputs, ctx):
         attribute_log=x("f_attribute_log"),
         fx=x("f_fx"),
     )
-    tables = run_orders(raw, dims, ctx)
+    return run_orders(raw, dims, ctx)
+
+
+def order_documents(x: Inputs, ctx):
+    """Order documents of a whole run, with the number of products of the promo order."""
+    tables = orders_run(x, ctx)
     promos = tables["promo_orders"].select(
         "country_code", "order_id", F.size("products").cast("bigint").alias("promo_product_count")
     )
@@ -138,7 +159,7 @@ def orders_run_sql(headers: str, ranks: str, feed_days: str) -> str:
 
 @register("curated_orders_backfill", orders_run_sql("true", "true", "true"))
 def _(x):
-    return orders_run(x, FULL)
+    return order_documents(x, FULL)
 
 
 # The run of 1998-06-15 looks back seven days and, on headers, one day ahead.
@@ -151,7 +172,7 @@ def _(x):
     ),
 )
 def _(x):
-    return orders_run(x, DAILY)
+    return order_documents(x, DAILY)
 
 
 # --- tables that runs leave behind ----------------------------------------------------------------
@@ -208,3 +229,162 @@ def _(x):
         "discount_value", near(F.col("discount_value"))
     )
     return table.join(F.broadcast(readers), "global_entity_id")
+
+
+# --- reports, resumed backfills, tables replaced at once ----------------------------------------------
+
+
+def plain(name: str) -> str:
+    return QUERIES[name].plain
+
+
+def report_sql(entries: dict[str, tuple[str, TableChecks]]) -> str:
+    parts = []
+    for table, (rows, checks) in entries.items():
+        for c in checks.not_null:
+            parts.append(
+                f"select '{table}' as table_name, 'not_null' as check_name, '{c}' as subject,"
+                f" count(*) - count({c}) as violations from ({rows}) as t"
+            )
+        key = ", ".join([*checks.key, *checks.optional])
+        keyless = " or ".join(f"{c} is null" for c in checks.key) if checks.strict else "false"
+        parts.append(
+            f"""select '{table}', 'unique', '{key}', (select count(*) from ({rows}) as t)
+            - (select count(*) from (select distinct {key} from ({rows}) as t) as k)
+            + (select count(*) from ({rows}) as t where {keyless})"""
+        )
+    return f"""select table_name, check_name, subject, cast(violations as bigint) as violations,
+      violations = 0 as passed from ({" union all ".join(parts)}) as r"""
+
+
+ORDER_ROWS = {
+    "orders_clean": plain("merge_sources_orders"),
+    "items_clean": plain("merge_sources_items"),
+    "order_campaigns_clean": plain("merge_sources_campaigns"),
+}
+
+
+@register("dq_report_orders", report_sql({t: (rows, ORDER_CHECKS[t]) for t, rows in ORDER_ROWS.items()}))
+def _(x):
+    """What the checks of a whole run report, gathered while its tables are written."""
+    return orders_run(x, FULL)["report"]
+
+
+OLD_TRIGGERS_SQL = f"""(select * replace (cast(created_at_utc as timestamp) as created_at_utc,
+    cast(updated_at_utc as timestamp) as updated_at_utc) from ({plain("triggers_old_clean")}) as o) as old"""
+CAMPAIGN_ROWS = {
+    "campaigns": plain("campaigns_clean"),
+    "benefits": plain("benefits_merge"),
+    "triggers": plain("triggers_merge").replace("f_triggers_old)", f"{OLD_TRIGGERS_SQL})"),
+    "campaign_vendors": plain("campaign_vendors_clean"),
+    "campaigns_nested": plain("campaigns_clean"),
+}
+
+
+@register(
+    "dq_report_campaigns",
+    report_sql({t: (rows, CAMPAIGN_CHECKS[t]) for t, rows in CAMPAIGN_ROWS.items()}),
+)
+def _(x):
+    return campaigns_run(x)["report"]
+
+
+@register(
+    "dq_report_catalog",
+    report_sql({"catalog": ("select * from f_chain_products", CATALOG_CHECKS["catalog"])}),
+)
+def _(x):
+    return catalog_run(x)["report"]
+
+
+def orders_of_chunk(x: Inputs, ctx, number: int):
+    feeds_of_chunk = [backfill_filter(x(f), "created_date", ctx) for f in ("f_cart_orders", "f_app_orders")]
+    return feeds.orders_clean(*feeds_of_chunk).withColumn("load_no", F.lit(number))
+
+
+CHUNKED = replace(FULL, backfill_start=date(1992, 1, 1), backfill_end=date(2001, 12, 31))
+CHUNK_DAYS = 400
+
+
+@register(
+    "chunked_backfill",
+    f"""select country_code, promo_order_id, created_date, {sql_near("total")} as total, src,
+      cast(case when created_date < date '1994-03-11' then 1 else 2 end as int) as load_no
+    from ({MERGED_ORDERS_SQL}) as o where created_date between date '1992-01-01' and date '2001-12-31'""",
+)
+def _(x):
+    """A backfill that is lost in its third chunk and started again: the first two stay as they are."""
+    path = work_path(x.spark, "orders-chunked")
+    ledger = Ledger(x.spark, work_path(x.spark, "ledger"))
+    settings = {
+        "path": path, "partition_column": "created_date", "ledger": ledger, "job": "orders_clean",
+        "chunk_days": CHUNK_DAYS, "sort_by": ["country_code", "promo_order_id"],
+    }
+
+    def until_lost(ctx):
+        if ctx.backfill_start >= date(1992, 1, 1) + timedelta(days=2 * CHUNK_DAYS):
+            raise ConnectionError("lost")
+        return orders_of_chunk(x, ctx, 1)
+
+    with contextlib.suppress(ConnectionError):
+        run_backfill(until_lost, CHUNKED, **settings)
+    run_backfill(lambda ctx: orders_of_chunk(x, ctx, 2), CHUNKED, **settings)
+    bounds = (CHUNKED.backfill_start, CHUNKED.backfill_end)
+    stored = read_partitions(x.spark, path, "created_date", bounds)
+    return stored.select(
+        "country_code", "promo_order_id", "created_date", near(F.col("total")).alias("total"),
+        "src", "load_no",
+    )
+
+
+@register(
+    "atomic_replace",
+    f"""select c.global_entity_id, country_code, campaign_id, campaign_name, state,
+      {sql_near("discount_value")} as discount_value, v.version_no
+    from f_campaigns as c cross join (values (1), (2)) as v(version_no)
+    where v.version_no = 1 or state = 'READY'""",
+)
+def _(x):
+    """A table replaced twice, the second time after a write that failed: both versions as read."""
+    path = work_path(x.spark, "campaign-versions")
+    rows = x("f_campaigns")
+    replace_table(rows, path, cluster_by=["global_entity_id", "campaign_id"], ddl=PUBLISHED)
+    broken = rows.withColumn("campaign_name", F.raise_error(F.lit("lost")).cast("string"))
+    with contextlib.suppress(PySparkException):
+        replace_table(broken, path, ddl=PUBLISHED)
+    first = read_table(x.spark, path, PUBLISHED)
+    replace_table(rows.where("state = 'READY'"), path, ddl=PUBLISHED)
+    both = first.withColumn("version_no", F.lit(1)).unionByName(
+        read_table(x.spark, path, PUBLISHED).withColumn("version_no", F.lit(2))
+    )
+    return both.withColumn("discount_value", near(F.col("discount_value")))
+
+
+LATE_DAY = date(1998, 5, 10)
+
+
+@register(
+    "late_rows_refresh",
+    f"""with days as (select order_id, order_date, date_trunc('month', order_date)::date as order_month
+      from f_order_heads),
+    late as (select order_month, min(order_id) as order_id from days
+      where order_month in (date '1995-02-01', date '1998-05-01') group by all)
+    select d.order_id, d.order_month, cast(case when l.order_month is null then 1 else 2 end as int) as load_no
+    from days as d left join (select distinct order_month from late) as l using (order_month)""",
+)
+def _(x):
+    """Two orders arrive long after their month: only these two months are loaded again."""
+    month = F.trunc("order_date", "month").alias("order_month")
+    rows = materialise(x("f_order_heads").select("order_id", month), "late-rows")
+    held_back = rows.where(F.col("order_month").isin(date(1995, 2, 1), date(1998, 5, 1)))
+    held_back = held_back.groupBy("order_month").agg(F.min("order_id").alias("order_id"))
+    path, marks = work_path(x.spark, "late"), work_path(x.spark, "late-marks")
+
+    def load(current, number: int) -> None:
+        refresh_changed(
+            x.spark, current, path, "order_month", marks, extra={"load_no": F.lit(number)}
+        )
+
+    load(rows.join(held_back, ["order_month", "order_id"], "left_anti"), 1)
+    load(rows, 2)
+    return read_refreshed(x.spark, path).select("order_id", "order_month", "load_no")

@@ -216,6 +216,7 @@ class Inputs:
 class Query:
     build: Callable[[Inputs], DataFrame]
     oracle: str | None
+    plain: str | None = None  # the SQL without the derived tables
 
 
 QUERIES: dict[str, Query] = {}
@@ -225,7 +226,7 @@ def register(name: str, oracle: str | None):
     """Register a query; the oracle may use the derived tables by name."""
 
     def add(build: Callable[[Inputs], DataFrame]):
-        QUERIES[name] = Query(build, with_fixtures(oracle) if oracle else None)
+        QUERIES[name] = Query(build, with_fixtures(oracle) if oracle else None, oracle)
         return build
 
     return add
