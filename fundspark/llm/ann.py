@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 
 from fundspark.llm.sampling import hashed_sample
 from fundspark.llm.vectors import best_per_query, matrix, query_vectors, valid_vectors
+from fundspark.operators.lineage import materialise
 
 TREES, LEAF, SAMPLE = 2, 96, 8_192
 BUNDLE_ROWS, QUERIES = 16_384, 4_096
+# A query looks at so many index entries at least; leaves of a small table are too few to choose from.
+LEAST = 4_096
 ROUTED = "tree int, leaf int, id long, v array<double>"
 ASKED = "bundle int, id long, v array<double>, leaves array<int>"
 FOUND = "query_id long, vec_id long, score double"
@@ -154,7 +157,7 @@ def _rank(k: int):
                 queries["id"], queries["v"], queries["leaves"], strict=True
             ):
                 met = np.flatnonzero(np.isin(place, leaves))
-                # 2k: up to two trees can bring the same row.
+                # Rows are distinct, but every tree can bring each of them.
                 found, distance = nearest(vectors[met], ids[met], np.asarray(query), own, TREES * k)
                 out.append((np.full(len(found), own), found, distance))
         query_id, vec_id, score = map(np.concatenate, zip(*out, strict=True))
@@ -178,22 +181,26 @@ def nearest_neighbours(
 
     Queries are the rows whose id is divisible by ``every``; ``score`` is the Euclidean distance in
     double precision. ``share`` is the number of index entries a query looks at, in units of the
-    number of rows; the index has ``TREES`` entries per row. Planes come from a sample of about
-    ``SAMPLE`` rows.
+    number of rows, but ``LEAST`` at least; the index has ``TREES`` entries per row. Planes come from a
+    sample of about ``SAMPLE`` rows.
 
     Rows with a NULL id, or a vector that is NULL, empty, zero or holds NULL or non-finite
     components, take no part; so do rows whose vector is not as long as most of the sample's. Rows
-    that repeat id and vector count once; an id's rows are no candidates for its own query. With
-    fewer than k other rows all that the search met are returned. No rows: an empty result.
+    that repeat id and vector count once, however often they stand; an id's rows are no candidates
+    for its own query. With fewer than k other rows all that the search met are returned. No rows:
+    an empty result.
     """
     spark = table.sparkSession
-    rows = valid_vectors(table, id_col, vector_col, zero=False)
-    sample = hashed_sample(rows, "id", SAMPLE, seed).toPandas()
+    rows = materialise(valid_vectors(table, id_col, vector_col, zero=False).distinct(), "ann-vectors")
+    sample = hashed_sample(rows, ["id", "v"], SAMPLE, seed).toPandas()
+    if not len(sample):
+        sample = rows.limit(SAMPLE).toPandas()
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lengths = sample["v"].map(len)
     width = int(lengths.mode().max())
-    sample = sample[lengths == width].sort_values("id", kind="stable")
+    sample = sample[lengths == width]
+    sample = sample.assign(order=sample["v"].map(tuple)).sort_values(["id", "order"])
     rng = np.random.default_rng(seed)
     forest = [grow(matrix(sample["v"]), rng, LEAF) for _ in range(TREES)]
     rows = rows.where(F.size("v") == width)
@@ -215,7 +222,7 @@ def nearest_neighbours(
         bundles[tree, leaf] = range(bundle, bundle + parts)
         places.append((tree, leaf, bundle, parts))
         bundle, load = bundle + parts - 1, load + size if parts == 1 else BUNDLE_ROWS
-    wanted = share * sum(int(size.sum()) for size in sizes) / TREES
+    wanted = max(share * sum(int(size.sum()) for size in sizes) / TREES, LEAST)
     visits = asked.mapInPandas(_ask(forest, sizes, bundles, wanted), ASKED)
     visits = visits.withColumn("across", F.pmod(F.xxhash64("id"), F.lit(across)).cast("int"))
     where = F.broadcast(spark.createDataFrame(places, "tree int, leaf int, first int, parts int"))

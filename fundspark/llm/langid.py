@@ -197,7 +197,7 @@ def train_languages(
     frequency = np.zeros(BUCKETS + 1)
     frequency[counted["bucket"]] = counted["documents"]
     idf = np.log((1 + frequency[BUCKETS]) / (1 + frequency[:BUCKETS])) + 1
-    chosen = hashed_sample(rows, "id", sample, seed)
+    chosen = hashed_sample(rows, ["id", "text", "lang"], sample, seed)
     part = F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(5))
     size = chosen.count()
     used = max(1, min(shards, size // 1500))
