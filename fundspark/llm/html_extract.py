@@ -2,19 +2,26 @@
 
 Pages of one host are merged into a style tree: element nodes that agree in their path of tags,
 classes and ids are one node of the tree. A node's presentation importance is the entropy of the
-child sequences it shows, its content importance that of the texts it holds, both in units of the
-logarithm of the number of pages that have it: what looks and reads alike on all pages of a site
-gets 0. On a page, a branch's importance combines its nodes' presentation and its leaves' content
-from the bottom up, and branches of low importance are removed. Hosts with few pages tell little,
-so importance is drawn towards 1 there; elements whose tag, class or id names furniture of a page
-are removed in any case. Scripts, styles, text fields, titles, choices of a form, and closed
-iframes, templates, drawings (svg) and annotations of formulas go as well.
+child sequences it shows. Its content importance is the mean over the text blocks it holds, on all
+pages, of 1 less the entropy of the pages a block is on: a block that many pages of the site show
+has little to do with any of them. Entropies are in units of the logarithm of the number of pages
+that have the node, so 1 is most. A branch of a page is as important as the most important content
+in it, and branches of low importance are removed.
+
+Hosts with few pages tell little, so importance is drawn towards 1 there; elements whose tag stands
+for furniture of a page are removed in any case, as are scripts, styles, text fields, titles,
+choices of a form, and closed iframes, templates, drawings (svg) and annotations of formulas. A
+class, id or role that names furniture is evidence only: it lowers the importance of its branch. It
+does not remove the article, nor most of the text. Where pages of a host are near copies of each
+other their articles look unimportant: if the tree would remove most of a page's text, it has no
+say on that page.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,11 +32,14 @@ from pyspark.sql import functions as F
 
 from fundspark.operators.lineage import materialise
 
-# Branches below LOW go; inside an article or main element, below half of it.
-LOW = 0.3
-DAMPING = 0.9
+# Branches below LOW go; inside an article or main element, those below LOW_INSIDE.
+LOW, LOW_INSIDE = 0.84, 0.4
+# Share of content in the importance of a node that holds text; the rest is presentation.
+CONTENT = 0.9
+# What a name of furniture leaves of a branch's importance.
+NAMED = 0.3
 # As many pages without anything in common are added to every node.
-PRIOR_PAGES = 8.0
+PRIOR_PAGES = 1.0
 SALTS = 16
 
 # Elements of HTML by their role.
@@ -78,6 +88,7 @@ _TAG = re.compile(
     re.S,
 )
 _NAMED = re.compile(r"(?:\s|^)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NO_DIGITS = dict.fromkeys(map(ord, "0123456789"))
 _HIDDEN = re.compile(r"(?:\s|^)hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
@@ -228,88 +239,155 @@ def _digest(parts: list[str]) -> int:
     return xxhash.xxh3_64_intdigest("\x1f".join(parts)) >> 1
 
 
-def page_styles(page: str) -> Iterator[tuple[int, int, int]]:
-    """``(path, style, content)`` of every path of a page: what its nodes show and hold."""
+def block_feature(text: str) -> int:
+    """Blocks that differ in case or digits alone, as dates and counters do, are one feature."""
+    return xxhash.xxh3_64_intdigest(text.lower().translate(_NO_DIGITS)) >> 1
+
+
+def page_styles(page: str) -> Iterator[tuple[int, int, dict[int, int]]]:
+    """``(path, style, blocks)`` of every path of a page: what its nodes show, and the blocks they
+    hold with their numbers."""
     nodes, _ = parse_page(page)
-    styles: dict[int, tuple[list[str], list[str]]] = {}
+    styles: dict[int, tuple[list[str], Counter]] = {}
     for node in nodes[1:]:
-        shown, held = styles.setdefault(node.path, ([], []))
+        shown, held = styles.setdefault(node.path, ([], Counter()))
         # Runs of like children count as one, as paragraphs and list items do.
         labels = [nodes[c].label for c in node.children]
         shown += [x for i, x in enumerate(labels) if not i or labels[i - 1] != x] + ["|"]
-        held += node.texts
+        held.update(map(block_feature, node.texts))
     for path, (shown, held) in styles.items():
-        yield path, _digest(list(dict.fromkeys(shown))), _digest(held) if held else 0
+        yield path, _digest(list(dict.fromkeys(shown))), dict(sorted(held.items()))
 
 
-def is_furniture(node: Node, inside_article: bool) -> bool:
-    if node.tag in FURNITURE_TAGS or node.hidden:
-        return True
-    if node.tag == "header" and not inside_article:
-        return True
-    return node.tag not in ("html", "body") and bool(node.names & FURNITURE_NAMES)
+def _is_cut(node: Node, inside_article: bool) -> bool:
+    """Whether the tag alone says that a branch is no content."""
+    return node.tag in FURNITURE_TAGS or node.hidden or (node.tag == "header" and not inside_article)
 
 
-def main_text(page: str, importance: dict[int, tuple[float, float]]) -> str:
+@dataclass
+class Rules:
+    """Which evidence beside the tree counts."""
+
+    tags: bool = True
+    names: bool = True
+    landmarks: bool = True
+
+
+def main_text(page: str, importance: dict[int, tuple[float, float]], rules: Rules = Rules()) -> str:
     """The blocks that are left when furniture and branches of low importance are removed.
 
     ``importance`` maps a path to its presentation and content importance; an unknown path has 1.
     If the page has an article or main element that is not furniture, only these count.
     """
     nodes, blocks = parse_page(page)
-    composite = [1.0] * len(nodes)
+    held = [0] * len(nodes)
+    for node, text in blocks:
+        held[node] += len(text)
+    within = list(held)
+    composite = [0.0] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):  # children come after their parents
         node = nodes[i]
-        shown, held = importance.get(node.path, (1.0, 1.0))
-        parts = [composite[c] for c in node.children] + ([held] if node.texts else [])
-        below = max(parts) if parts else 0.0
-        composite[i] = (1 - DAMPING) * shown + DAMPING * below
-    dropped, landmark = [False] * len(nodes), [False] * len(nodes)
-    has_landmark = False
+        shown, content = importance.get(node.path, (1.0, 1.0))
+        own = CONTENT * content + (1 - CONTENT) * shown if node.texts else 0.0
+        composite[i] = max([own, *(composite[c] for c in node.children)])
+        within[node.parent] += within[i]
+
+    # What tags cut off, and which landmark is the page's article: the one with most text that does
+    # not lie in a branch named as furniture, if there is one.
+    cut, landmark, named = [False] * len(nodes), [False] * len(nodes), [False] * len(nodes)
+    main, main_rank = 0, (False, 0)
     for i in range(1, len(nodes)):
-        node = nodes[i]
-        inside = landmark[node.parent]
-        furniture = is_furniture(node, inside)
-        least = LOW / 2 if inside or node.tag in LANDMARKS else LOW
-        # An article after an unclosed menu or advert is not part of it.
-        freed = node.tag in LANDMARKS and not furniture and not has_landmark
-        gone = dropped[node.parent] and not freed
-        dropped[i] = gone or furniture or composite[i] < least
-        landmark[i] = inside or (node.tag in LANDMARKS and not dropped[i])
-        has_landmark |= landmark[i]
-    kept = [
-        text for node, text in blocks if not dropped[node] and (landmark[node] or not has_landmark)
-    ]
-    return "\n".join(kept)
+        node, up = nodes[i], nodes[i].parent
+        own_name = rules.names and node.tag not in ("html", "body") and bool(node.names & FURNITURE_NAMES)
+        is_landmark = rules.landmarks and node.tag in LANDMARKS
+        cut[i] = cut[up] or (rules.tags and _is_cut(node, landmark[up]))
+        if is_landmark and not landmark[up] and (not named[up], within[i]) > main_rank:
+            main, main_rank = i, (not named[up], within[i])
+        landmark[i] = landmark[up] or is_landmark
+        named[i] = named[up] or own_name
+    total = sum(held[i] for i in range(len(nodes)) if not cut[i])
+    holds_main = [False] * len(nodes)
+    at = main
+    while at > 0:
+        holds_main[at] = True
+        at = nodes[at].parent
+
+    def keeps(tree: bool) -> list[bool]:
+        """Nodes that stay, with the tree's say or without."""
+        dropped, inside = [False] * len(nodes), [False] * len(nodes)
+        has_landmark = False
+        for i in range(1, len(nodes)):
+            node, up = nodes[i], nodes[i].parent
+            is_landmark = rules.landmarks and node.tag in LANDMARKS
+            furniture = rules.tags and _is_cut(node, inside[up])
+            worth = composite[i] if tree and within[i] else 1.0
+            if rules.names and node.tag not in ("html", "body") and node.names & FURNITURE_NAMES:
+                most = not main and 2 * within[i] > total
+                if not (holds_main[i] or most):
+                    worth *= NAMED
+            least = LOW_INSIDE if inside[up] or is_landmark else LOW
+            # An article after an unclosed menu or advert is not part of it.
+            freed = is_landmark and not furniture and not has_landmark
+            dropped[i] = (dropped[up] and not freed) or furniture or (worth < least and not holds_main[i])
+            inside[i] = inside[up] or (is_landmark and not dropped[i])
+            has_landmark |= inside[i]
+        return [not dropped[i] and (inside[i] or not has_landmark) for i in range(len(nodes))]
+
+    kept = keeps(tree=True)
+    plain = keeps(tree=False)
+    if 2 * sum(held[i] for i in range(len(nodes)) if kept[i]) < sum(held[i] for i in range(len(nodes)) if plain[i]):
+        kept = plain
+    return "\n".join(text for node, text in blocks if kept[node])
 
 
 def _styles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for key, host, page in zip(batch["key"], batch["host"], batch["html"], strict=True):
-            rows += [(key, host, *found) for found in page_styles(page)]
-        yield pd.DataFrame(rows, columns=["key", "host", "path", "style", "content"])
+            for path, style, blocks in page_styles(page):
+                rows.append((key, host, path, style, list(blocks), list(blocks.values())))
+        yield pd.DataFrame(rows, columns=["key", "host", "path", "style", "blocks", "times"])
+
+
+def _entropy(total, nlogn, pages):
+    """In units of the logarithm of the number of pages; 0 for what is on one page alone."""
+    entropy = (F.log(total) - nlogn / total) / F.log(pages)
+    return F.when(pages > 1, F.greatest(F.least(entropy, F.lit(1.0)), F.lit(0.0))).otherwise(0.0)
 
 
 def style_tree(styles: DataFrame) -> DataFrame:
     """``host, path, shown, held``: importance of every node of the hosts' style trees.
 
-    Pages are counted per feature before entropies are summed, so a host may have any share of
-    all pages.
+    Pages are counted per style and per block before entropies are summed, so a host may have any
+    share of all pages. ``styles`` has a row per page and path.
     """
+    node = ["host", "path"]
+    looks = styles.groupBy(*node, "style").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    looks = looks.groupBy(*node).agg(
+        F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
+    )
+    pairs = F.explode(F.arrays_zip("blocks", "times")).alias("b")
+    blocks = styles.select(*node, pairs).select(
+        *node, F.col("b.blocks").alias("block"), F.col("b.times").cast("double").alias("n")
+    )
+    blocks = blocks.groupBy(*node, "block").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
+    )
+    pages = looks.select(*node, "pages")
+    blocks = blocks.join(pages, node)
+    spread = _entropy(F.col("n"), F.col("nlogn"), F.col("pages"))
+    content = blocks.groupBy(*node).agg(
+        (F.sum(F.col("n") * (1 - spread)) / F.sum("n")).alias("content")
+    )
 
-    def entropies(feature: str, name: str) -> DataFrame:
-        counted = styles.groupBy("host", "path", feature).agg(F.count(F.lit(1)).alias("n"))
-        summed = counted.groupBy("host", "path").agg(
-            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
-        )
-        pages = F.col("pages").cast("double")
-        entropy = (F.log(pages) - F.col("nlogn") / pages) / F.log(pages)
-        entropy = F.when(pages > 1, entropy).otherwise(1.0)
-        drawn = (entropy * pages + PRIOR_PAGES) / (pages + PRIOR_PAGES)
-        return summed.select("host", "path", drawn.alias(name))
+    def drawn(column):
+        return (column * F.col("pages") + PRIOR_PAGES) / (F.col("pages") + PRIOR_PAGES)
 
-    return entropies("style", "shown").join(entropies("content", "held"), ["host", "path"])
+    shown = F.when(F.col("pages") > 1, _entropy(F.col("pages"), F.col("nlogn"), F.col("pages"))).otherwise(1.0)
+    joined = looks.join(content, node, "left")
+    return joined.select(
+        *node, drawn(shown).alias("shown"), drawn(F.coalesce("content", F.lit(1.0))).alias("held")
+    )
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -343,7 +421,7 @@ def extract_pages(
         html.alias("html"),
         F.when(host != "", host).alias("host"),
     ).withColumn("key", F.xxhash64("host", "html"))
-    schema = "key long, host string, path long, style long, content long"
+    schema = "key long, host string, path long, style long, blocks array<long>, times array<int>"
     styles = base.where("host is not null").select("key", "host", "html").mapInPandas(_styles, schema)
     styles = materialise(styles.distinct(), "html-styles")
     salt = F.pmod("key", F.lit(SALTS)).cast("int")
