@@ -4,7 +4,8 @@ All rolling word k-grams of a text are joined by hash to the positions of the sa
 notices. A hit lies on the diagonal text position minus notice position; a copied passage puts its
 hits on one diagonal, or on a few neighbouring ones if words were added or left out. Hits are
 counted per diagonal, neighbouring diagonals are merged, and a span counts when the grams it shares
-with the notice, compared as words, cover enough of it.
+with the notice, compared as words, cover enough of it. Notices that differ in a word or two all
+cover the same passage; of spans that overlap only those count that cover most of their notice.
 """
 
 from __future__ import annotations
@@ -12,9 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fundspark.operators.lineage import materialise
+from fundspark.operators.skew import all_of
+
 GRAM = 3
 NEIGHBOUR = 3
 COVER = 0.75
+# Words of text that overlapping spans are looked for in at a time.
+STRETCH = 64
 
 # Phrases whose every place is reported, and their labels.
 PHRASES = {
@@ -47,16 +53,18 @@ NOTICES = (
                      "International License"),
 )
 
+KELVIN, OTHER_LETTER = "\u212a", "\u212b"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def license_words(text: Column) -> Column:
-    """Words of a text in lower case, in order; empty for NULL.
+    """Words of a text with A-Z in lower case, in order; empty for NULL.
 
-    Lower-casing letters beyond A-Z as well changes neither the number of words nor a match with
-    words of plain ASCII.
+    Letters beyond A-Z change too, which affects neither the number of words nor a match with words
+    of plain ASCII: the one letter that would become such, the Kelvin sign, is replaced by another.
     """
-    lowered = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    plain = F.replace(F.coalesce(text.cast("string"), F.lit("")), F.lit(KELVIN), F.lit(OTHER_LETTER))
+    lowered = F.lower(plain)
     return F.array_remove(F.split(lowered, _BETWEEN), "")
 
 
@@ -150,7 +158,39 @@ def notice_spans(
         F.size(F.array_distinct(F.flatten(F.collect_list("met")))).alias("met"),
     )
     cover = F.col("met").cast("double") / F.col("grams")
-    return spans.withColumn("cover", cover).where(F.col("cover") >= COVER)
+    spans = spans.withColumn("cover", cover).where(F.col("cover") >= COVER)
+    found = spans.select("doc_id", "text_hash", "template", "label", "first", "last", "met", "cover")
+    return best_spans(materialise(found, "license-spans"))
+
+
+def best_spans(spans: DataFrame) -> DataFrame:
+    """Without spans that another notice's span overlaps with more cover, or as much and more grams.
+
+    Spans meet in stretches of text, so a text with any number of notices costs no task more than
+    the few that lie near each other. Spans of one label do not rule each other out.
+    """
+    stretch = F.explode(F.sequence(F.floor(F.col("first") / STRETCH), F.floor(F.col("last") / STRETCH)))
+    placed = spans.withColumn("stretch", stretch)
+    other = placed.select(
+        F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), F.col("stretch").alias("__s"),
+        F.col("label").alias("__label"), F.col("first").alias("__first"), F.col("last").alias("__last"),
+        F.struct("cover", "met").alias("__rank"),
+    ).distinct()
+    beaten = placed.join(
+        other,
+        placed["doc_id"].eqNullSafe(other["__d"])
+        & placed["text_hash"].eqNullSafe(other["__t"])
+        & (placed["stretch"] == other["__s"])
+        & (placed["label"] != other["__label"])
+        & (placed["first"] <= other["__last"])
+        & (other["__first"] <= placed["last"])
+        & (F.struct(placed["cover"], placed["met"]) < other["__rank"]),
+        "left_semi",
+    )
+    key = ["doc_id", "text_hash", "template", "label", "first", "last", "met", "cover"]
+    gone = beaten.select(*[F.col(c).alias(f"__g_{c}") for c in key]).distinct()
+    same = [spans[c].eqNullSafe(gone[f"__g_{c}"]) for c in key]
+    return spans.join(gone, all_of(same), "left_anti")
 
 
 def scan_licenses(
