@@ -3,7 +3,9 @@
 Every document gets a copy count from a Poisson distribution whose mean is the repetition rate its
 source needs to reach its target weight. The count is the inverse of the distribution function at
 a number hashed from seed and document, so it needs no state, is the same on every run, and holds
-for any split of the data. Copies are then shuffled globally by a hash of document and copy.
+for any split of the data. The steps of the distribution function are computed once per source.
+Whole documents are then dealt to tasks by a hash of document and copy and put in its order there:
+one shuffle, in which every task gets a random share of all sources.
 """
 
 from __future__ import annotations
@@ -11,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fundspark.operators.lineage import materialise
+from fundspark.operators.skew import bounded_join
+
 # Beyond this mean a count is the sum of several draws of the same mean, so exp(-mean) stays
 # far from underflow and the search for the inverse stays short.
 PART_MEAN = 16.0
@@ -54,21 +59,23 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / 2.0**52
 
 
-def poisson_count(mean: Column, u: Column) -> Column:
-    """Smallest k with P(X <= k) > u, for means up to ``PART_MEAN``."""
-    start = F.struct(
-        F.exp(-mean).alias("mass"), F.exp(-mean).alias("below"), F.lit(0).alias("count")
-    )
+def poisson_steps(mean: Column) -> Column:
+    """P(X <= k) for k from 0 up to ``TAIL``, or to where it no longer grows; for means up to ``PART_MEAN``."""
+    none = F.array().cast("array<double>")
+    start = F.struct(F.exp(-mean).alias("mass"), F.lit(0.0).alias("below"), none.alias("steps"))
 
     def step(state: Column, k: Column) -> Column:
+        below = state["below"] + state["mass"]
+        steps = F.when(below > state["below"], F.array_append(state["steps"], below)).otherwise(state["steps"])
         mass = state["mass"] * mean / k
-        return F.struct(
-            mass.alias("mass"),
-            (state["below"] + mass).alias("below"),
-            (state["count"] + F.when(state["below"] <= u, 1).otherwise(0)).alias("count"),
-        )
+        return F.struct(mass.alias("mass"), below.alias("below"), steps.alias("steps"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(TAIL)), start, step, lambda s: s["steps"])
+
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(TAIL)), start, step, lambda s: s["count"])
+def poisson_count(steps: Column, u: Column) -> Column:
+    """Smallest k with P(X <= k) > u."""
+    return F.size(F.filter(steps, lambda below: below <= u))
 
 
 def mix_sources(
@@ -78,36 +85,35 @@ def mix_sources(
     id_col: str = "doc_id",
     source_col: str = "source",
     seed: int = 0,
-    salts: int = 64,
 ) -> DataFrame:
     """Rows of docs, each as often as its count says, with ``copy`` (from 0) and ``position``.
 
-    ``position`` is a hash of seed, id, copy and the rank among rows of one id; the result is
-    ordered by it. Columns of docs named ``copy`` or ``position`` are replaced. Rows that repeat
-    an id get the same count. A NULL id is hashed as an empty one, a NULL or empty text is mixed
-    like any other. ``rates`` is salted, not broadcast: a source may hold most rows, and the
-    number of sources has no bound.
+    ``position`` is a hash of seed, id and copy; every task holds a random share of the copies in
+    the order of it. Columns of docs named ``copy`` or ``position`` are replaced. Rows that repeat
+    an id get the same count and place. A NULL id is hashed as an empty one, a NULL or empty text is
+    mixed like any other. The few rows of ``rates`` are broadcast only if they are counted to be
+    few, and salted otherwise: a source may hold most rows.
     """
     kept = [c for c in docs.columns if c not in ("copy", "position")]
-    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int")
-    base = docs.select(*kept, F.col(source_col).alias("__source"), salt.alias("__salt"))
-    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    every = rates.select(F.col("source").alias("__s"), F.col("rate"), spread.alias("__t"))
-    joined = base.join(
-        every.withColumnRenamed("rate", "__rate"),
-        F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__salt") == F.col("__t")),
+    # A source of its own for NULL, which no name can be.
+    name = F.concat(F.lit("="), F.col(source_col).cast("string"))
+    base = docs.select(*kept, F.coalesce(name, F.lit("")).alias("__source"))
+    parts = F.greatest(F.ceil(F.col("rate") / PART_MEAN), F.lit(1)).cast("int")
+    every = rates.where("rate > 0").select(
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("__source"),
+        parts.alias("__parts"),
+        poisson_steps(F.col("rate") / parts).alias("__steps"),
     )
-    parts = F.greatest(F.ceil(F.col("__rate") / PART_MEAN), F.lit(1)).cast("int")
-    mean = F.col("__rate") / parts
+    joined = bounded_join(base, materialise(every, "mix-rates"), ["__source"])
     count = F.aggregate(
-        F.sequence(F.lit(1), parts),
+        F.sequence(F.lit(1), F.col("__parts")),
         F.lit(0),
         lambda total, part: total
-        + poisson_count(mean, uniform(F.lit(seed), F.col(id_col), part)),
+        + poisson_count(F.col("__steps"), uniform(F.lit(seed), F.col(id_col), part)),
     )
-    counted = joined.withColumn("__count", F.when(F.col("__rate") > 0, count).otherwise(0))
-    copies = counted.where("__count > 0").withColumn(
+    copies = joined.withColumn("__count", count).where("__count > 0").withColumn(
         "copy", F.explode(F.sequence(F.lit(0), F.col("__count") - 1))
     )
     place = F.md5(F.concat_ws(":", F.lit(f"place{seed}"), F.col(id_col), F.col("copy")).cast("binary"))
-    return copies.select(*kept, "copy", place.alias("position")).orderBy("position", id_col, "copy")
+    placed = copies.select(*kept, "copy", place.alias("position"))
+    return placed.repartition("position").sortWithinPartitions("position", id_col, "copy")

@@ -73,7 +73,7 @@ with words as (
   select doc_id, count(*) as n_base, min(start) as first_word, max(start) as last_word,
     list_sort(list_distinct(list(label))) as labels from places group by doc_id
 ), hits as (
-  select doc_id, template, label, grams, place, i - 1 - place as diagonal
+  select doc_id, template, label, grams, place, i, i - 1 - place as diagonal
   from starts join grams on array_to_string(w[i:i + {GRAM} - 1], ' ') = g and i + {GRAM} - 1 <= len(w)
 ), opened as (
   select *, case when diagonal - lag(diagonal) over o <= {NEIGHBOUR} then 0 else 1 end as opens
@@ -82,11 +82,17 @@ with words as (
   select *, sum(opens) over (partition by doc_id, template order by diagonal
     range between unbounded preceding and current row) as span from opened
 ), spans as (
-  select doc_id, label, count(distinct place) / any_value(grams) as cover from numbered
-  group by doc_id, template, label, span
+  select doc_id, template, label, count(distinct place) as met, min(i) as low, max(i) + {GRAM} - 1 as high,
+    count(distinct place) / any_value(grams) as cover from numbered
+  group by doc_id, template, label, span having cover >= {COVER}
+), touching as (
+  select a.doc_id, a.template, a.label, a.low, a.cover, a.met,
+    max(case when b.label <> a.label then 1000 * b.cover + b.met / 1000 else 0 end) as rival
+  from spans a join spans b on a.doc_id = b.doc_id and a.low <= b.high and b.low <= a.high
+  group by all
 ), found as (
-  select doc_id, list(distinct label) as labels, max(cover) as cover from spans
-  where cover >= {COVER} group by doc_id
+  select doc_id, list(distinct label) as labels, max(cover) as cover from touching
+  where 1000 * cover + met / 1000 >= rival - 1e-9 group by doc_id
 )
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base,
   cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word,
@@ -134,8 +140,9 @@ with counted as (
 ), counts as (
   select doc_id, source, count(*) filter (below <= u) as copies from ladder group by doc_id, source
 ), copies as (select doc_id, source, unnest(range(0, copies)) as copy from counts)
-select doc_id, source, cast(copy as int) as copy, md5('place20:' || doc_id || ':' || copy) as position
-from copies
+select doc_id, c.source, cast(copy as int) as copy, md5('place20:' || doc_id || ':' || copy) as position,
+  cast(coalesce(length(text), 0) as bigint) as n_chars, md5(coalesce(text, '')) as text_md5
+from copies c join documents using (doc_id)
 """
 
 COLLOCATIONS = f"""

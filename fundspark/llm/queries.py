@@ -105,7 +105,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weighted by the square root of their size; the mixture is as large as the input."""
     docs = table(spark, sf_dir, "documents")
     rates = source_rates(docs, exponent=0.5, epochs=1.0)
-    return mix_sources(docs, rates, seed=SEED).select("doc_id", "source", "copy", "position")
+    text = F.coalesce("text", F.lit(""))
+    return mix_sources(docs, rates, seed=SEED).select(
+        "doc_id", "source", "copy", "position",
+        F.length(text).cast("long").alias("n_chars"), F.md5(text.cast("binary")).alias("text_md5"),
+    )
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
