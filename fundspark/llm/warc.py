@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def record_id(page_id: int | None, occurrence: str) -> str:
-    """A name that is the same when a lost task runs again."""
+    """A name of its own for every record; ``occurrence`` tells rows that repeat a page apart."""
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id}/{occurrence}')}>"
 
 
@@ -146,6 +147,8 @@ def _store(folder: str, name: str, content: bytes) -> None:
 def _write(folder: str, level: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         writer, rows, seen = BundleWriter(level), [], hashlib.sha1()
+        # Repeats of one row may be in any task; its number and the place in it tell them apart.
+        task, place = TaskContext.get().partitionId(), 0
 
         def flush() -> pd.DataFrame:
             name = f"{seen.hexdigest()[:24]}.warc.zst"
@@ -161,7 +164,8 @@ def _write(folder: str, level: int):
             ):
                 page_id = None if page is None else int(page)
                 payload = (html or "").encode("utf-8", "surrogatepass")
-                name = record_id(page_id, row)
+                name = record_id(page_id, f"{row}/{task}/{place}")
+                place += 1
                 kind = "response" if refers is None else "revisit"
                 record = warc_record(
                     kind, name, page_id, url, payload, base32_sha1(payload),
@@ -255,24 +259,51 @@ def parse_record(frame: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
     return headers, frame[body:end], end + 4
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import zstandard
+class BundleReader:
+    """Frames of one bundle: the seek table at its end, then only what is asked for."""
 
-    inflate = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            rows = []
-            for start, packed, size in read_seek_table(content):
-                frame = inflate.decompress(content[start : start + packed], max_output_size=size)
-                at = 0
-                while at < len(frame):
-                    head, body, at = parse_record(frame, at)
+    def __init__(self, folder: str, bundle: str):
+        import zstandard
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(folder)
+        self.inflate = zstandard.ZstdDecompressor()
+        self.file = system.open_input_file(f"{path}/{bundle}")
+        size = self.file.size()
+        self.file.seek(size - 9)
+        count, flags, _ = struct.unpack("<IBI", self.file.read(9))
+        table = 8 + count * (12 if flags & 0x80 else 8) + 9
+        self.file.seek(size - table)
+        self.frames = read_seek_table(self.file.read(table))
+
+    def __enter__(self) -> BundleReader:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.file.close()
+
+    def frame(self, number: int) -> bytes:
+        start, packed, size = self.frames[number]
+        self.file.seek(start)
+        return self.inflate.decompress(self.file.read(packed), max_output_size=size)
+
+
+def _read(folder: str):
+    def run(entries: pd.DataFrame) -> pd.DataFrame:
+        rows, bundle = [], entries["bundle"].iloc[0]
+        with BundleReader(folder, bundle) as reader:
+            for number, of_frame in entries.groupby("frame", sort=True):
+                content = reader.frame(int(number))
+                for name, at in zip(of_frame["record_id"], of_frame["frame_offset"], strict=True):
+                    head, body, _ = parse_record(content, int(at))
+                    if head["WARC-Record-ID"] != name:
+                        raise ValueError(f"{bundle}: another record lies where the index says")
                     page, refers = head.get("X-Page-ID"), head.get("X-Refers-To-Page")
                     rows.append(
                         (
-                            head["WARC-Record-ID"],
+                            name,
                             None if page is None else int(page),
-                            path.rsplit("/", 1)[-1],
+                            bundle,
                             head["WARC-Type"],
                             head["WARC-Payload-Digest"].removeprefix("sha1:"),
                             int(head["X-Payload-Length"]),
@@ -281,36 +312,25 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             base32_sha1(body),
                         )
                     )
-            names = [column.split()[0] for column in READ_SCHEMA.split(", ")]
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        names = [column.split()[0] for column in READ_SCHEMA.split(", ")]
+        out = pd.DataFrame(rows, columns=names)
+        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+
+    return run
 
 
 def read_archives(spark, folder: str, index: DataFrame) -> DataFrame:
-    """Every record that the index names, parsed from the files. An empty index reads nothing."""
-    if index.isEmpty():
-        return spark.createDataFrame([], READ_SCHEMA)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    found = files.select("path", "content").mapInPandas(_read, READ_SCHEMA)
-    # A task that ran twice may have left a bundle that no index entry names.
-    return found.join(index.select("record_id", "bundle"), ["record_id", "bundle"], "left_semi")
+    """Every record that the index names, read at its frame and offset; a frame is inflated once.
+
+    A group is the index of one bundle, which holds about ``BUNDLE_BYTES`` of records. Bundles that
+    no index entry names, as a task that ran twice may leave, are not opened. An empty index reads
+    nothing.
+    """
+    return index.groupBy("bundle").applyInPandas(_read(folder), READ_SCHEMA)
 
 
 def read_record(folder: str, bundle: str, frame: int, frame_offset: int) -> tuple[dict[str, str], bytes]:
     """One record by its index entry: the seek table, then a single frame."""
-    import zstandard
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(folder)
-    with system.open_input_file(f"{path}/{bundle}") as file:
-        size = file.size()
-        file.seek(size - 9)
-        count, flags, _ = struct.unpack("<IBI", file.read(9))
-        table = 8 + count * (12 if flags & 0x80 else 8) + 9
-        file.seek(size - table)
-        frames = read_seek_table(file.read(table))
-        start, packed, full = frames[frame]
-        file.seek(start)
-        content = zstandard.ZstdDecompressor().decompress(file.read(packed), max_output_size=full)
-    headers, body, _ = parse_record(content, frame_offset)
+    with BundleReader(folder, bundle) as reader:
+        headers, body, _ = parse_record(reader.frame(frame), frame_offset)
     return headers, body
