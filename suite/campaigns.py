@@ -5,31 +5,32 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fundspark.functions.classify import campaign_subtype
+from fundspark.functions.sql import register_all
 from fundspark.operators import campaigns as ops
 from fundspark.operators.nested import unfold
-from suite.model import FULL, HEADER_TIMES, MONTHLY, Inputs, register, sql_text, text
-
-GOODS = "applies_to in ('PRODUCTS', 'CHEAPEST_PRODUCTS')"
-# The labels by campaign type, then target group, discount type and value.
-SUBTYPE_SQL = f"""case
-  when campaign_type = 'Generic' then 'Generic'
-  when campaign_type = 'Strikethrough' and {GOODS} then
-    case discount_type when 'ABSOLUTE' then 'Strikethrough $'
-      when 'PERCENTAGE' then 'Strikethrough %' end
-  when campaign_type in ('SameItemBundle', 'MixAndMatch') then
-    'Multibuy: ' || case campaign_type when 'SameItemBundle' then 'Same Item'
-      else 'Mix & Match' end ||
-    case when applies_to = 'DELIVERY_FEE' then ' - Delivery Fee Discount'
-      when {GOODS} and discount_type = 'ABSOLUTE' then ' $'
-      when {GOODS} and discount_type = 'PERCENTAGE' and discount_value = 100 then ' - Free Item'
-      when {GOODS} and discount_type = 'PERCENTAGE' and discount_value < 100 then ' %' end
-  when campaign_type = 'BasketValue' then 'Basket Discount' ||
-    case when applies_to = 'DELIVERY_FEE' then ' - Delivery'
-      when applies_to = 'BASKET' and discount_type = 'PERCENTAGE' then ' %'
-      when applies_to = 'BASKET' and discount_type = 'ABSOLUTE' then ' $'
-      when {GOODS} and discount_type = 'PERCENTAGE' and discount_value = 100 then ' - Free Item'
-      end
-  end"""
+from suite.model import FULL, HEADER_TIMES, MONTHLY, QUERIES, Inputs, register, sql_text, text
+
+# Campaign type, what it applies to, discount type, discount value, label; * is any.
+SUBTYPE_LABELS = """
+    ('Strikethrough', 'goods', 'ABSOLUTE', '*', 'Strikethrough $'),
+    ('Strikethrough', 'goods', 'PERCENTAGE', '*', 'Strikethrough %'),
+    ('SameItemBundle', 'goods', 'PERCENTAGE', 'full', 'Multibuy: Same Item - Free Item'),
+    ('SameItemBundle', 'goods', 'PERCENTAGE', 'part', 'Multibuy: Same Item %'),
+    ('SameItemBundle', 'goods', 'ABSOLUTE', '*', 'Multibuy: Same Item $'),
+    ('SameItemBundle', 'DELIVERY_FEE', '*', '*', 'Multibuy: Same Item - Delivery Fee Discount'),
+    ('MixAndMatch', 'goods', 'PERCENTAGE', 'full', 'Multibuy: Mix & Match - Free Item'),
+    ('MixAndMatch', 'goods', 'PERCENTAGE', 'part', 'Multibuy: Mix & Match %'),
+    ('MixAndMatch', 'goods', 'ABSOLUTE', '*', 'Multibuy: Mix & Match $'),
+    ('MixAndMatch', 'DELIVERY_FEE', '*', '*', 'Multibuy: Mix & Match - Delivery Fee Discount'),
+    ('BasketValue', 'DELIVERY_FEE', '*', '*', 'Basket Discount - Delivery'),
+    ('BasketValue', 'goods', 'PERCENTAGE', 'full', 'Basket Discount - Free Item'),
+    ('BasketValue', 'BASKET', 'PERCENTAGE', '*', 'Basket Discount %'),
+    ('BasketValue', 'BASKET', 'ABSOLUTE', '*', 'Basket Discount $'),
+    ('Generic', '*', '*', '*', 'Generic')"""
+SUBTYPE_SQL = f"""(select label from (values {SUBTYPE_LABELS}) as t(kind, target, discount, worth, label)
+  where kind = campaign_type and discount in ('*', discount_type)
+    and target in ('*', case when applies_to in ('PRODUCTS', 'CHEAPEST_PRODUCTS') then 'goods' else applies_to end)
+    and worth in ('*', case when discount_value = 100 then 'full' when discount_value < 100 then 'part' end))"""
 
 SHAPED_SQL = f"""
 shaped as (
@@ -284,3 +285,25 @@ def _(x):
         "global_entity_id", "root_id", "campaign_id", "campaign_type",
         *text("campaign_start_at_utc", "campaign_end_at_utc"),
     )
+
+
+@register("campaign_subtype_sql", QUERIES["campaign_subtype"].plain)
+def _(x):
+    """The same in SQL text alone."""
+    register_all(x.spark)
+    x.base("part").createOrReplaceTempView("part")
+    return x.spark.sql(
+        """SELECT campaign_type, applies_to, discount_type,
+          campaign_subtype(campaign_type, applies_to, discount_type, discount_value) AS campaign_subtype,
+          count(*) AS part_count
+        FROM (SELECT
+            element_at(array('Strikethrough', 'SameItemBundle', 'MixAndMatch', 'BasketValue', 'Generic', 'Other'),
+              cast(p_partkey % 6 + 1 AS INT)) AS campaign_type,
+            element_at(array('PRODUCTS', 'CHEAPEST_PRODUCTS', 'DELIVERY_FEE', 'BASKET'),
+              cast(p_size % 4 + 1 AS INT)) AS applies_to,
+            element_at(array('ABSOLUTE', NULL, 'PERCENTAGE', 'PERCENTAGE', 'PERCENTAGE'),
+              cast(p_partkey % 5 + 1 AS INT)) AS discount_type,
+            element_at(array(100D, 20D, NULL), cast(p_size % 3 + 1 AS INT)) AS discount_value
+          FROM part)
+        GROUP BY ALL"""
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import uuid
 from dataclasses import replace
 from datetime import date, timedelta
 
@@ -21,6 +22,7 @@ from fundspark.plans.curated import (
     run_orders,
 )
 from fundspark.sources.tables import literal_rows, read_partitions, read_table, replace_table
+from fundspark.sources.views import publish_to_groups
 from fundspark.streaming.backfill import Ledger, run_backfill
 from fundspark.streaming.fingerprints import refresh_changed
 from fundspark.streaming.refresh import (
@@ -388,3 +390,29 @@ def _(x):
     load(rows.join(held_back, ["order_month", "order_id"], "left_anti"), 1)
     load(rows, 2)
     return read_refreshed(x.spark, path).select("order_id", "order_month", "load_no")
+
+
+@register(
+    "published_views",
+    f"""select c.country_code, c.campaign_id, c.campaign_name, c.state, {sql_near("discount_value")} as discount_value,
+      reader from f_campaigns as c join (values ('PY_N0', 'north'), ('EF_AT', 'south'))
+      as t(global_entity_id, reader) on t.global_entity_id = c.global_entity_id""",
+)
+def _(x):
+    """A table published to two groups of readers and read through their views by another session."""
+    path = work_path(x.spark, "campaigns-to-publish")
+    replace_table(x("f_campaigns"), path)
+    columns = {
+        "country_code": "two letters", "campaign_id": "id of this version", "campaign_name": "",
+        "state": "READY when it may run", "discount_value": "amount or per cent",
+    }
+    name = f"campaigns_{uuid.uuid4().hex[:12]}"
+    views = publish_to_groups(
+        x.spark, name, path, columns, {"north": ["PY_N0"], "south": ["EF_AT"], "nobody": []}
+    )
+    other = x.spark.newSession()
+    shown = [
+        other.table(view).withColumn("reader", F.lit(view.rsplit("_", 1)[1])) for view in views
+    ]
+    both = shown[0].unionByName(shown[1])
+    return both.withColumn("discount_value", near(F.col("discount_value")))

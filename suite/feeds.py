@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from fundspark.context import RunContext
 from fundspark.functions.calendar import register_sql_functions, run_partitions, run_window
+from fundspark.functions.sql import register_all
 from fundspark.operators import feeds
+from fundspark.operators.lineage import work_path
 from fundspark.operators.rules import country_rules
 from fundspark.operators.skew import bounded_join
 from fundspark.operators.temporal import scd2_from_events
+from fundspark.sources.catalogs import read_contracted
 from fundspark.streaming.refresh import backfill_filter, lookback_filter, month_window_filter
-from suite.model import MONTHLY, Inputs, register, rounded, sql_rounded, sql_text, text
+from suite.model import MONTHLY, QUERIES, Inputs, register, rounded, sql_rounded, sql_text, text
 
 WINDOW_SQL = """
 calendar as (select distinct cast(o_orderdate as date) as input_date from orders),
@@ -54,6 +57,21 @@ def _(x):
     )
 
 
+@register(
+    "run_partitions_sql",
+    f"""with {WINDOW_SQL} select input_date,
+    cast(unnest(generate_series(filter_start_date, filter_end_date, interval 1 day)) as date)
+      as partition_date from windows""",
+)
+def _(x):
+    """The partitions of every run date from a table function, in SQL text alone."""
+    register_all(x.spark)
+    order_dates(x).createOrReplaceTempView("run_dates")
+    return x.spark.sql(
+        "SELECT d.input_date, p.partition_date FROM run_dates AS d, LATERAL run_partitions(d.input_date) AS p"
+    )
+
+
 @register(
     "run_partitions",
     f"""with {WINDOW_SQL} select input_date,
@@ -366,6 +384,25 @@ def _(x):
     )
 
 
+EXTERNAL_CONTRACT = """global_entity_id string, country_code string, order_id string, sku string,
+    order_fulfilled_at timestamp, campaign_id string, amount double"""
+
+
+@register("external_funding_by_name", QUERIES["external_funding"].plain)
+def _(x):
+    """The same from a table that another team owns, by its qualified name and under a contract."""
+    roots = {"partner": work_path(x.spark, "partner")}
+    x("f_external").withColumn("internal_note", F.lit("not promised")).write.parquet(
+        f"{roots['partner']}/billing/external_funding"
+    )
+    source = read_contracted(x.spark, "partner.billing.external_funding", EXTERNAL_CONTRACT, roots)
+    imported = feeds.external_funding(source)
+    return imported.select(
+        "global_entity_id", "country_code", "order_id", "sku",
+        *text("order_fulfilled_at_utc"), "campaign_id", *rounded("abs_discount_value_lt"),
+    )
+
+
 # --- incremental filters --------------------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from fundspark.functions.money import funding_amount
+from fundspark.functions.sql import register_all
 from fundspark.operators.campaigns import campaign_version_rollup, campaign_versions_flat
 from fundspark.operators.nested import unfold
 from fundspark.operators.quality import run_metrics
@@ -15,7 +16,7 @@ from fundspark.plans import billing as bill
 from fundspark.plans import funding_v1 as v1
 from fundspark.plans import funding_v2 as v2
 from suite.campaigns import ELIGIBLE_SQL, FLAT_SQL, ROLLUP_PLAIN, ROLLUP_SQL, ROLLUP_TIMES, eligible
-from suite.model import FULL, MONTHLY, Inputs, near, register, rounded, sql_near, sql_rounded, text
+from suite.model import FULL, MONTHLY, QUERIES, Inputs, near, register, rounded, sql_near, sql_rounded, text
 
 # --- concluded campaigns --------------------------------------------------------------------------
 
@@ -355,18 +356,24 @@ def _(x):
 
 
 BLOCKS = "floor(r.quantity_sold / nullif(r.trigger_qty_threshold, 0))"
-AMOUNT_SQL = f"""case
-    when r.require_discount_to_charge and not r.has_discount then 0
-    when r.contract_status = 'missing' and r.missing_contract_fallback = 'skip' then 0
-    when r.contract_status = 'missing' and r.missing_contract_fallback = 'full_discount'
-      then round(r.unit_discount_lc * r.quantity_sold, 2)
-    when r.contract_status = 'explicit_zero' or r.funding_unit_value is null then 0
-    when r.funding_value_convention = 'normalized'
-      then round(r.funding_unit_value * r.quantity_sold, 2)
-    when r.funding_value_convention = 'per_benefit' then
-      case when {BLOCKS} is not null then round(r.funding_unit_value
-        * least({BLOCKS}, coalesce(nullif(r.benefit_qty_limit, 0), {BLOCKS})), 2) end
-    else 0 end"""
+# A label per line, and the formula of each label; any other label is worth nothing.
+BASIS_SQL = """case when r.require_discount_to_charge and not r.has_discount then 'nothing'
+    when r.contract_status = 'missing' and r.missing_contract_fallback in ('skip', 'full_discount')
+      then r.missing_contract_fallback
+    when r.contract_status = 'explicit_zero' or r.funding_unit_value is null then 'nothing'
+    else r.funding_value_convention end"""
+BLOCKS_SQL = """least(floor(r.quantity_sold / nullif(r.trigger_qty_threshold, 0)), coalesce(
+    nullif(r.benefit_qty_limit, 0), floor(r.quantity_sold / nullif(r.trigger_qty_threshold, 0))))"""
+# least() skips NULLs here: without blocks there is no amount.
+FORMULAS = {
+    "full_discount": "r.unit_discount_lc * r.quantity_sold",
+    "normalized": "r.funding_unit_value * r.quantity_sold",
+    "per_benefit": f"""r.funding_unit_value * case when nullif(r.trigger_qty_threshold, 0) is not null
+      then {BLOCKS_SQL} end""",
+}
+FORMULA_TABLE = ", ".join(f"'{label}': cast({formula} as double)" for label, formula in FORMULAS.items())
+AMOUNT_SQL = f"""case when {BASIS_SQL} in ({", ".join(f"'{x}'" for x in FORMULAS)})
+    then round((map {{{FORMULA_TABLE}}})[{BASIS_SQL}], 2) else 0 end"""
 
 
 @register(
@@ -526,3 +533,25 @@ def _(x):
     run = Run(x)
     report = run_metrics(run.funding, run.billing, {"rows": 1000, "billing_rows": 10})
     return report.select("metric", "healthy", near(F.col("value"), 3).alias("value"))
+
+
+@register("funding_amount_sql", QUERIES["funding_amount"].plain)
+def _(x):
+    """The same in SQL text alone."""
+    register_all(x.spark)
+    x("f_items").createOrReplaceTempView("f_items")
+    amounts = x.spark.sql(
+        """WITH sized AS (SELECT *, cast(substr(sku, 2) AS BIGINT) + cast(quantity_sold AS BIGINT) AS sz FROM f_items),
+        staged AS (SELECT *,
+            element_at(array('missing', 'explicit_zero', 'configured'), cast(sz % 3 + 1 AS INT)) AS contract_status,
+            element_at(array('normalized', 'per_benefit', 'none'), cast(sz div 4 % 3 + 1 AS INT)) AS convention,
+            if(sz div 2 % 2 = 0, 'skip', 'full_discount') AS fallback,
+            if(sz % 5 > 0, sz % 5 * 0.25D, NULL) AS unit_value,
+            if(sz % 7 <> 0, sz % 7 - 1, NULL) AS threshold, if(sz % 4 <> 0, sz % 4 - 1, NULL) AS most
+          FROM sized)
+        SELECT order_id, sku, contract_status, funding_amount(
+            funding_basis(sz % 2 = 0, unit_discount_lc > 0, contract_status, fallback, convention, unit_value),
+            unit_value, unit_discount_lc, quantity_sold, threshold, most) AS funding_total_lc
+        FROM staged"""
+    )
+    return amounts.withColumn("funding_total_lc", near(F.col("funding_total_lc"), 2))
