@@ -29,7 +29,7 @@ HEADLINE = [
     "vat_asof", "order_lines_curated", "supplier_statement", "campaigns_utilised", "match_funding",
     "order_funding", "billing",
 ]
-RUNS = 3
+RUNS = 2
 
 
 def derive(spark, sf_dir: str, store: str, names: list[str]) -> None:

@@ -385,7 +385,8 @@ def fx_convert(
         F.col("exchange_rate_value").alias("fx_rate"),
     ).distinct()
     keyed = df.withColumns({"__day": F.to_date(when), "__code": F.col(code)})
-    joined = bounded_join(keyed, rates, ["__day", "__code"], "left", max_rows=1_000_000)
+    # Three narrow columns: 200,000 rows are less than 10 MB.
+    joined = bounded_join(keyed, rates, ["__day", "__code"], "left", max_rows=200_000, counted=fx)
     rate = F.col("fx_rate")
     eur = {name: convert(F.col(local), rate) for name, local in amounts.items()}
     return joined.drop("__day", "__code").withColumns(eur)

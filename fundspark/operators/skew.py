@@ -24,15 +24,17 @@ def bounded_join(
     *,
     max_rows: int = 100_000,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a right side that is expected to be small, on keys with few distinct values.
 
     Measured small: broadcast, so the left side is not shuffled at all. Otherwise the few keys
     are spread over ``salts`` sub-keys by repeating the right side, so that one country or one
-    currency never becomes one task.
+    currency never becomes one task. ``counted`` is what to measure instead of the right side, a
+    table it was derived from without adding rows: counting a stored table reads no rows.
     """
     on = list(on)
-    if is_small(right, max_rows):
+    if is_small(right if counted is None else counted, max_rows):
         return left.join(F.broadcast(right), on, how)
     others = [c for c in left.columns if c not in on]
     salted = left.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))

@@ -21,6 +21,7 @@ from fundspark.plans.curated import (
     run_campaigns,
     run_orders,
 )
+from fundspark.plans.targets import CAMPAIGN_TARGETS, leave_tables, read_left
 from fundspark.sources.tables import literal_rows, read_partitions, read_table, replace_table
 from fundspark.sources.views import publish_to_groups
 from fundspark.streaming.backfill import Ledger, run_backfill
@@ -80,8 +81,12 @@ def campaigns_run(x: Inputs):
       and n.campaign_id = s.campaign_id""",
 )
 def _(x):
+    return campaign_sizes(campaigns_run(x)["campaigns_nested"])
+
+
+def campaign_sizes(documents):
     sizes = {"benefits": "benefit_count", "triggers": "trigger_count", "vendors": "vendor_count"}
-    return campaigns_run(x)["campaigns_nested"].select(
+    return documents.select(
         "country_code", "campaign_id", "campaign_name", "is_valid", "campaign_subtype",
         *[F.size(a).cast("bigint").alias(n) for a, n in sizes.items()],
     )
@@ -416,3 +421,14 @@ def _(x):
     ]
     both = shown[0].unionByName(shown[1])
     return both.withColumn("discount_value", near(F.col("discount_value")))
+
+
+@register("campaigns_run_targets", plain("curated_campaigns_run"))
+def _(x):
+    """The tables that two runs leave: the second replaces the first, read as a reader would."""
+    root = work_path(x.spark, "campaign-targets")
+    tables = campaigns_run(x)
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    for run in (empty, tables):
+        leave_tables(run, root, CAMPAIGN_TARGETS, strict=False)
+    return campaign_sizes(read_left(x.spark, root, "campaigns_nested", CAMPAIGN_TARGETS))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from fundspark.operators.rules import country_rules
 from fundspark.plans import billing as bill
 from fundspark.plans import funding_v1 as v1
 from fundspark.plans import funding_v2 as v2
+from fundspark.sources.bucketed import write_bucketed
 from suite.campaigns import ELIGIBLE_SQL, FLAT_SQL, ROLLUP_PLAIN, ROLLUP_SQL, ROLLUP_TIMES, eligible
 from suite.model import FULL, MONTHLY, QUERIES, Inputs, near, register, rounded, sql_near, sql_rounded, text
 
@@ -342,6 +344,16 @@ def _(x):
     return Run(x).matched.select(*MATCH_OUT)
 
 
+@register("match_funding_stored", QUERIES["match_funding"].plain)
+def _(x):
+    """The same against slots stored in buckets of the key, which do not move."""
+    run = Run(x)
+    slots = v2.contract_slots(v2.placed_contracts(run.contracts, run.warehouses), run.rules, FULL)
+    name = f"contract_slots_{uuid.uuid4().hex[:12]}"
+    stored = write_bucketed(slots, name, v2.SLOT_KEY)
+    return v2.match_slots(run.lines, stored, run.rules, FULL).select(*MATCH_OUT)
+
+
 RESOLVED_SQL = f"""{MATCHED_SQL},
 resolved as (
   select * from matched qualify row_number() over (
