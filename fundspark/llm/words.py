@@ -99,6 +99,8 @@ def split_words(texts: pa.Array, kinds: np.ndarray, *, lower: bool = True) -> Wo
     lengths = np.flatnonzero(last) + 1 - starts
     held = data[word]
     codes, words = encode(binary_array(LOWER[held] if lower else held, lengths))
-    doc = np.searchsorted(offsets[1:], starts, side="right")
-    piece = np.searchsorted(np.flatnonzero(kind == BREAK), starts)
+    # Texts and breaks are fewer than words: look these up among the words, not the other way round.
+    doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, offsets)))
+    passed = np.searchsorted(starts, np.flatnonzero(kind == BREAK))
+    piece = np.cumsum(np.bincount(passed, minlength=len(starts) + 1))[: len(starts)]
     return Words(doc, codes, words, piece)
