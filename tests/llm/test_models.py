@@ -38,7 +38,8 @@ def test_pairs_are_fitted_to_the_least_loss():
     w = np.zeros(4)
     for _ in range(3000):
         w += 0.5 * ((difference / (1 + np.exp(difference @ w))[:, None]).mean(axis=0) - 1e-3 * w)
-    assert loss(model.weights) < 1.02 * loss(w)
+    # It is fitted on a third of the pairs, drawn.
+    assert loss(model.weights) < 1.05 * loss(w)
     # The cut is the quantile of the rejected share, and scores 0.3 lies on it.
     worth = model.worth(features)
     assert (worth < model.cut).sum() == 60
