@@ -308,15 +308,16 @@ def test_only_lines_move_to_stored_slots(spark, inputs):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         matched = v2.match_slots(run.lines, stored, run.rules, FULL)
-        plan = matched._jdf.queryExecution().executedPlan().toString()
-        join, _, below = plan.partition("SortMergeJoin")
-        assert "Exchange" not in join and below.count("slots_of_a_test") == 1
-        right = below[: below.index("slots_of_a_test")].rsplit("SortMergeJoin", 1)[-1]
-        assert "Exchange" not in right.splitlines()[-1] and "Bucketed: true" in below
-        tail = [line for line in below.splitlines() if "slots_of_a_test" in line][0]
-        depth = tail.index("FileScan")
-        above = [line for line in below.splitlines()[: below.splitlines().index(tail)] if "Exchange" in line]
-        assert all(line.index("Exchange") > 0 for line in above) and depth
+        plan = matched._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, line in enumerate(plan) if "FileScan" in line and "slots_of_a_test" in line)
+        depth, above = len(plan[scan]) - len(plan[scan].lstrip(" :+-")), []
+        for line in reversed(plan[:scan]):
+            own = len(line) - len(line.lstrip(" :+-"))
+            if own < depth:
+                depth = own
+                above.append(line.strip(" :+-"))
+        above = above[: next(i for i, line in enumerate(above) if line.startswith("SortMergeJoin"))]
+        assert not any(line.startswith("Exchange") for line in above) and "Bucketed: true" in plan[scan]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert matched.count() == run.matched.count()
