@@ -354,44 +354,37 @@ def _styles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["key", "host", "path", "style", "blocks", "times"])
 
 
-def _entropy(total, nlogn, pages):
-    """In units of the logarithm of the number of pages; 0 for what is on one page alone."""
-    entropy = (F.log(total) - nlogn / total) / F.log(pages)
-    return F.when(pages > 1, F.greatest(F.least(entropy, F.lit(1.0)), F.lit(0.0))).otherwise(0.0)
-
-
 def style_tree(styles: DataFrame) -> DataFrame:
     """``host, path, shown, held``: importance of every node of the hosts' style trees.
 
-    Pages are counted per style and per block before entropies are summed, so a host may have any
-    share of all pages. ``styles`` has a row per page and path.
+    Pages are counted per style and per block before entropies are summed, and the mean entropy of a
+    node's blocks needs two sums only, so a host may have any share of all pages. ``styles`` has a
+    row per page and path.
     """
     node = ["host", "path"]
+    n, times_log = F.col("n"), F.sum(F.col("n") * F.log("n"))
     looks = styles.groupBy(*node, "style").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    looks = looks.groupBy(*node).agg(
-        F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
-    )
+    looks = looks.groupBy(*node).agg(F.sum("n").alias("pages"), times_log.alias("nlogn"))
     pairs = F.explode(F.arrays_zip("blocks", "times")).alias("b")
     blocks = styles.select(*node, pairs).select(
         *node, F.col("b.blocks").alias("block"), F.col("b.times").cast("double").alias("n")
     )
-    blocks = blocks.groupBy(*node, "block").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
-    )
-    pages = looks.select(*node, "pages")
-    blocks = blocks.join(pages, node)
-    spread = _entropy(F.col("n"), F.col("nlogn"), F.col("pages"))
+    blocks = blocks.groupBy(*node, "block").agg(F.sum("n").alias("n"), times_log.alias("nlogn"))
+    # n times the entropy of a block, in natural units, is n log n less the sum over its pages.
     content = blocks.groupBy(*node).agg(
-        (F.sum(F.col("n") * (1 - spread)) / F.sum("n")).alias("content")
+        F.sum("n").alias("held_blocks"), F.sum(n * F.log(n) - F.col("nlogn")).alias("spread")
     )
+    joined = looks.join(content, node, "left")
+    pages, several = F.col("pages"), F.col("pages") > 1
 
-    def drawn(column):
-        return (column * F.col("pages") + PRIOR_PAGES) / (F.col("pages") + PRIOR_PAGES)
+    def drawn(importance):
+        bounded = F.greatest(F.least(importance, F.lit(1.0)), F.lit(0.0))
+        return (bounded * pages + PRIOR_PAGES) / (pages + PRIOR_PAGES)
 
-    shown = F.when(F.col("pages") > 1, _entropy(F.col("pages"), F.col("nlogn"), F.col("pages"))).otherwise(1.0)
-    joined = looks.join(content, node, "left")
+    shown = F.when(several, (F.log(pages) - F.col("nlogn") / pages) / F.log(pages)).otherwise(1.0)
+    held = F.when(several, 1 - F.col("spread") / F.col("held_blocks") / F.log(pages)).otherwise(1.0)
     return joined.select(
-        *node, drawn(shown).alias("shown"), drawn(F.coalesce("content", F.lit(1.0))).alias("held")
+        *node, drawn(shown).alias("shown"), drawn(F.coalesce(held, F.lit(1.0))).alias("held")
     )
 
 
