@@ -13,8 +13,8 @@ for furniture of a page are removed in any case, as are scripts, styles, text fi
 choices of a form, and closed iframes, templates, drawings (svg) and annotations of formulas. A
 class, id or role that names furniture is evidence only: it lowers the importance of its branch. It
 does not remove the article, nor most of the text. Where pages of a host are near copies of each
-other their articles look unimportant: if the tree would remove most of a page's text, it has no
-say on that page.
+other their articles look unimportant: if the tree would leave less than a quarter of a page's text,
+it has no say on that page; nor has it inside an article or main element.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from fundspark.operators.lineage import materialise
 
-# Branches below LOW go; inside an article or main element, those below LOW_INSIDE.
-LOW, LOW_INSIDE = 0.84, 0.4
+# Branches below LOW go.
+LOW = 0.84
 # Share of content in the importance of a node that holds text; the rest is presentation.
 CONTENT = 0.9
 # What a name of furniture leaves of a branch's importance.
@@ -88,7 +88,6 @@ _TAG = re.compile(
     re.S,
 )
 _NAMED = re.compile(r"(?:\s|^)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_NO_DIGITS = dict.fromkeys(map(ord, "0123456789"))
 _HIDDEN = re.compile(r"(?:\s|^)hidden(?:[\s=/]|$)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
@@ -240,13 +239,8 @@ def _digest(parts: list[str]) -> int:
 
 
 def block_feature(text: str) -> int:
-    """Blocks that differ in case, or in a few digits as dates and counters do, are one feature.
-
-    Where digits are most of a block they are what it says.
-    """
-    plain = text.lower()
-    words = plain.translate(_NO_DIGITS)
-    return xxhash.xxh3_64_intdigest(words if 3 * len(words) > 2 * len(plain) else plain) >> 1
+    """Blocks that differ in case alone are one feature."""
+    return xxhash.xxh3_64_intdigest(text.lower()) >> 1
 
 
 def page_styles(page: str) -> Iterator[tuple[int, int, dict[int, int]]]:
@@ -326,11 +320,12 @@ def main_text(page: str, importance: dict[int, tuple[float, float]], rules: Rule
             is_landmark = rules.landmarks and node.tag in LANDMARKS
             furniture = rules.tags and _is_cut(node, inside[up])
             worth = composite[i] if tree and within[i] else 1.0
+            # What the article holds, the same on all pages or not, is part of it.
+            least = 0.0 if inside[up] or is_landmark else LOW
             if rules.names and node.tag not in ("html", "body") and node.names & FURNITURE_NAMES:
                 most = not main and 2 * within[i] > total
                 if not (holds_main[i] or most):
-                    worth *= NAMED
-            least = LOW_INSIDE if inside[up] or is_landmark else LOW
+                    worth, least = worth * NAMED, LOW
             # An article after an unclosed menu or advert is not part of it.
             freed = is_landmark and not furniture and not has_landmark
             dropped[i] = (dropped[up] and not freed) or furniture or (worth < least and not holds_main[i])
@@ -340,7 +335,8 @@ def main_text(page: str, importance: dict[int, tuple[float, float]], rules: Rule
 
     kept = keeps(tree=True)
     plain = keeps(tree=False)
-    if 2 * sum(held[i] for i in range(len(nodes)) if kept[i]) < sum(held[i] for i in range(len(nodes)) if plain[i]):
+    left, whole = (sum(size for size, stays in zip(held, nodes_kept, strict=True) if stays) for nodes_kept in (kept, plain))
+    if 4 * left < whole:
         kept = plain
     return "\n".join(text for node, text in blocks if kept[node])
 
