@@ -26,7 +26,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -384,12 +386,22 @@ def style_tree(styles: DataFrame) -> DataFrame:
     )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as Zstandard frames: what is shuffled is mostly html."""
+    packer = zstandard.ZstdCompressor()
+    for batch in batches:
+        at = batch.schema.get_field_index("html")
+        frames = [packer.compress(page) for page in batch.column(at).cast(pa.binary()).to_pylist()]
+        yield batch.set_column(at, "html", pa.array(frames, pa.binary()))
+
+
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
         texts = []
-        for page, tree in zip(batch["html"], batch["tree"], strict=True):
+        for frame, tree in zip(batch["html"], batch["tree"], strict=True):
             known = {} if tree is None else {t["path"]: (t["shown"], t["held"]) for t in tree}
-            texts.append(main_text(page, known))
+            texts.append(main_text(unpacker.decompress(frame).decode(), known))
         out = pd.DataFrame({"page_id": batch["id"], "url": batch["url"], "text": texts})
         out["n_chars"] = out["text"].str.len().astype("int64")
         # Ids travel as text: a missing one would turn whole numbers into floats.
@@ -423,5 +435,8 @@ def extract_pages(
     tree = style_tree(styles).withColumn("salt", spread)
     placed = styles.select("key", "host", "path", salt.alias("salt")).join(tree, ["host", "path", "salt"])
     of_page = placed.groupBy("key").agg(F.collect_list(F.struct("path", "shown", "held")).alias("tree"))
-    joined = base.join(of_page, "key", "left").select("id", "url", "html", "tree")
+    packed = base.select("key", "id", "url", "html").mapInArrow(
+        _packed, "key long, id string, url string, html binary"
+    )
+    joined = packed.join(of_page, "key", "left").select("id", "url", "html", "tree")
     return joined.mapInPandas(_extract, "page_id long, url string, text string, n_chars long")
