@@ -96,6 +96,25 @@ def test_collocations_equal_brute_force(spark, longest, monkeypatch):
     assert mine == plain_collocations(rows, 4, longest, 50, 40) and len(mine) > 40
 
 
+def test_a_word_has_one_hash_whatever_stands_beside_it():
+    rng = np.random.default_rng(3)
+    words = list({bytes(rng.integers(97, 101, rng.integers(1, 8)).astype(np.uint8)) for _ in range(3_000)})
+    words += [b"a" * collocations.LONG_WORD, b"a" * (collocations.LONG_WORD + 1), "é".encode() * 9_000]
+    found = collocations.word_hashes(pa.array(words, pa.binary()))
+    alone = [int(collocations.word_hashes(pa.array([w], pa.binary()))[0]) for w in words[-400:]]
+    assert found[-400:].tolist() == alone and len(set(found.tolist())) == len(words)
+    assert len(collocations.word_hashes(pa.array([], pa.binary()))) == 0
+
+
+@pytest.mark.parametrize("large", [10, 2**40])
+def test_distinct_rows_equal_a_plain_count(large):
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 5, 700) * large for _ in range(3)]
+    first, count = collocations.distinct_rows(columns)
+    plain = collections.Counter(zip(*(c.tolist() for c in columns), strict=True))
+    assert {tuple(int(c[i]) for c in columns): int(n) for i, n in zip(first, count, strict=True)} == plain
+
+
 def test_no_collocations_in_empty_tables(spark):
     assert collocations.collocations(make_docs(spark, [])).count() == 0
     assert collocations.collocations(make_docs(spark, [(1, "a b", "en"), (2, None, None)])).count() == 0
