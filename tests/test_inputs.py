@@ -86,5 +86,6 @@ def test_wide_rows_are_not_dealt_again(spark, tables):
             assert "RoundRobin" not in plan and "InMemoryTableScan" not in plan
             first = re.sub(r"#\d+L?", "", plan[plan.index("Exchange ") :].splitlines()[0])
             assert f"hashpartitioning({keys}, " in first
+            assert document == "orders" or "REPARTITION_BY_NUM" in first  # not merged by narrow size
     finally:
         spark.conf.unset(threshold)
