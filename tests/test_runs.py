@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import random
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundspark.context import RunContext
 from fundspark.functions.sql import register_all
+from fundspark.operators.lines import sales_buffer_asof
 from fundspark.operators.nested import fold
 from fundspark.operators.quality import TableChecks, checked_table
 from fundspark.operators.skew import hot_keys
-from fundspark.operators.temporal import History, asof_join, carry_asof
+from fundspark.operators.temporal import History, _in_slices, asof_join, carry_asof, dense_keys
 from fundspark.sources.catalogs import SchemaDrift, read_contracted, resolve
 from fundspark.sources.tables import read_table, replace_table
 from fundspark.sources.versions import expire_versions, read_version, versions
@@ -80,6 +83,48 @@ def test_carry_equals_the_chain_of_joins(spark, sliced, hot_rows):
     assert carry_asof(facts.limit(0), histories, "at", common="product", spread_by=["id"], **sliced).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 5, 1_000])
+def test_only_keys_with_many_versions_are_cut_into_slices(spark, most):
+    """The same rows whichever keys are cut; versions of the others move once, not once per slice."""
+    facts, histories = three_histories(spark)
+    by_product = reduce(DataFrame.unionAll, [h.rows.select("product") for h in histories])
+    dense = dense_keys(by_product, ["product"], most)
+    settings = {"common": "product", "spread_by": ["id"], **SLICES}
+    whole = carry_asof(facts, histories, "at", **settings)
+    assert sorted(map(str, carry_asof(facts, histories, "at", dense=dense, **settings).collect())) == sorted(
+        map(str, whole.collect())
+    )
+    for h in histories:
+        join = {"valid_from": "start", "valid_to": "stop", "values": h.values, "closed": "both", **SLICES}
+        every = asof_join(facts, h.rows, h.on, "at", **join)
+        cut = dense_keys(h.rows, list(h.on.values()), most)
+        found = asof_join(facts, h.rows, h.on, "at", dense=cut, **join)
+        assert found.columns == every.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, every.collect()))
+
+
+def test_versions_of_ordinary_products_move_once(spark):
+    """Ten years in slices of one: a version is one row before it moves, not ten; a dense key's are cut."""
+    history = spark.range(300).selectExpr(
+        "cast(id as string) as global_catalog_id", "'a' as global_entity_id",
+        "timestamp'2019-01-01 00:00:00' as valid_from_utc", "timestamp'2031-01-01 00:00:00' as valid_to_utc",
+        "timestamp'2019-01-01 00:00:00' as valid_from_lt", "cast(id as double) as sales_buffer",
+    )
+    keys, ctx = ["global_entity_id", "global_catalog_id"], RunContext(as_of=date(2029, 12, 31), date_in=date(2020, 1, 1), backfill=True)
+    for most, rows in ((1, 300), (0, 300 * 11)):
+        cut = _in_slices(
+            history, keys, "valid_from_utc", F.col("valid_to_utc"), dense_keys(history, keys, most),
+            ctx.asof_bounds, ctx.asof_bucket_days, "slot",
+        )
+        assert cut.count() == rows
+    facts = spark.range(300).selectExpr(
+        "cast(id as string) as global_catalog_id", "'a' as global_entity_id", "timestamp'2024-01-01 00:00:00' as order_created_at_utc"
+    )
+    found = sales_buffer_asof(facts, history, ctx)
+    assert found.where("sales_buffer = cast(global_catalog_id as double)").count() == 300
+    assert "__dense" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_facts_move_once_for_all_histories(spark):
     facts, histories = three_histories(spark)
     carried = carry_asof(facts, histories, "at", common="product", spread_by=["id"], **SLICES)
