@@ -65,16 +65,19 @@ def test_both_feeds_are_ranked_at_once(spark):
     keys = [(c, "E", "x", s) for c in ("a", None) for s in ("1", "2", None)]
     new = [(*k, up, at, 1.0 * n) for n, k in enumerate(keys[:4]) for up in days for at in days]
     old = [(*k, days[2], days[1], 9.0) for k in keys]
+    deleted = F.explode(F.array(F.lit(True), F.lit(False)))  # rows alike but for this: the live one counts
     ddl = "country_code string, global_entity_id string, campaign_id string, sku string, {} timestamp, {} timestamp, {} double"
-    raw = spark.createDataFrame(new, ddl.format("modified_at", "created_at", "discount")).withColumn("supplier_fund_value", F.lit(1.0))
+    raw = spark.createDataFrame(new, ddl.format("modified_at", "created_at", "discount"))
+    raw = raw.withColumn("supplier_fund_value", F.lit(1.0)).withColumn("is_deleted", deleted)
     clean = spark.createDataFrame(old, ddl.format("updated_at_utc", "created_at_utc", "discount_value")).withColumn(
         "supplier_funding_value", F.lit(1.0)
-    )
+    ).withColumn("is_deleted", F.lit(False))
     merged = feeds.benefits_merge(raw, clean)
     assert executed(merged).count("Exchange hashpartitioning") == 1
     wanted = first_of([(*r, 1) for r in new] + [(*r, 2) for r in old], lambda r: (r[7], late(r[4]), early(r[5])))
     out = [*KEYS, "updated_at_utc", "created_at_utc", "discount_value", "src_priority"]
     assert sorted((tuple(r) for r in merged.select(*out).collect()), key=str) == wanted
+    assert merged.where("is_deleted").isEmpty()
 
     times = "country_code string, global_entity_id string, campaign_id string, sku string, updated_at_utc timestamp, created_at_utc timestamp"
     triggers = feeds.triggers_merge(
