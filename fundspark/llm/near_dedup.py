@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundspark.llm.batches import bounded_batches
 from fundspark.llm.components import components
 from fundspark.operators.lineage import materialise
 
@@ -284,6 +285,12 @@ def near_duplicates(
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     )
+    # Every Python step is written inside; what is returned only joins written tables.
+    with bounded_batches(docs.sparkSession):
+        return _components_of(texts, shingle_words, percent, seed)
+
+
+def _components_of(texts: DataFrame, shingle_words: int, percent: int, seed: int) -> DataFrame:
     schema = "id long, n long, set_key binary, signature binary"
     sketches = materialise(texts.mapInPandas(_sketch(shingle_words, seed), schema), "near-sketch")
     known = sketches.where("id is not null and n > 0")

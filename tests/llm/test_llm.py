@@ -442,3 +442,39 @@ def test_pipeline_stages_equal_their_rules(spark):
         docs = after
     packed = pipeline.STAGES[4][1](spark, docs, sf)
     assert packed.where("piece = 0").count() == docs.count()
+
+
+def test_near_duplicates_hand_workers_small_batches(spark, monkeypatch):
+    """Texts and shingle sets are wide: every step that is written gives workers few rows at a time."""
+    setting, used = "spark.sql.execution.arrow.maxRecordsPerBatch", set()
+    written = near_dedup.materialise
+
+    def watched(df, name):
+        used.add(int(spark.conf.get(setting)))
+        return written(df, name)
+
+    monkeypatch.setattr(near_dedup, "materialise", watched)
+    before = spark.conf.get(setting)
+    text = " ".join(WORDS[:60])
+    rows = [(i, text + f" more{i % 7}") for i in range(40)]
+    found = near_duplicates(make_docs(spark, rows), shingle_words=4, percent=80).collect()
+    assert {r["component_id"] for r in found} == {0} and len(found) == 40
+    assert used and max(used) <= 1_000
+    assert spark.conf.get(setting) == before
+
+
+def test_batches_are_bounded_by_rows_and_bytes(spark):
+    from fundspark.llm.batches import bounded_batches
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    rows = spark.range(0, 3_000, 1, 1).selectExpr("repeat('x', 1000) as text")
+    with bounded_batches(spark, rows=400):
+        assert max(r["n"] for r in rows.mapInPandas(sizes, "n long").collect()) == 400
+    with bounded_batches(spark, most=100_000):
+        assert max(r["n"] for r in rows.mapInPandas(sizes, "n long").collect()) <= 200
+    with pytest.raises(ValueError), bounded_batches(spark):
+        raise ValueError
+    assert max(r["n"] for r in rows.mapInPandas(sizes, "n long").collect()) > 1_000
