@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -46,9 +47,41 @@ def test_pairs_are_fitted_to_the_least_loss():
     assert abs(model.score(features[np.argsort(worth)[59:61]]).mean() - 0.3) < 0.2
 
 
-def test_word_buckets_equal_a_plain_count():
-    import zlib
+def test_every_pair_counts():
+    """20 good and 6,000 bad documents, far more pairs than were ever drawn: the slope of the loss over
+    all of them vanishes, and the cut and the slope of the scores are exact order statistics."""
+    rng = np.random.default_rng(8)
+    features = np.concatenate([rng.normal(0.3, 1, (20, 3)), rng.normal(0, 1, (6_000, 3))])
+    label = np.repeat([1, 0], [20, 6_000])
+    model = quality.fit_pairs(features, label)
+    scaled = (features - features.mean(axis=0)) / features.std(axis=0)
+    difference = scaled[:20, None] - scaled[None, 20:]
+    lost = 1 / (1 + np.exp(difference @ model.weights))
+    slope = -(lost[..., None] * difference).mean(axis=(0, 1)) + 1e-3 * model.weights
+    assert np.abs(slope).max() < 1e-6
+    worth = model.worth(features)
+    assert model.cut == np.sort(worth)[5_999:6_001].mean()
+    assert np.isclose(model.slope, 8 / (np.median(worth[:20]) - np.median(worth[20:])), rtol=1e-12)
+
 
+def test_every_labelled_document_teaches(spark):
+    """Also beyond 20,000 of them; over the tables the fit is the one over their rows."""
+    rng = np.random.default_rng(9)
+    words = np.array("river stone walks under 99 $$ BUY!!! |".split())
+    texts = [" ".join(words[rng.integers(0, 6 - 2 * (i % 2), 5) + 2 * (i % 3 == 0)]) for i in range(26_500)]
+    docs = odd_docs(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(26_500)], "doc_id long, quality int")
+    model = quality.train_quality(docs, labels)
+    learns = [i for i in range(26_500) if zlib.crc32(str(i).encode()) % 5 != 0]
+    assert len(learns) > 21_000
+    features = np.array([quality.text_statistics(texts[i]) for i in learns])
+    want = quality.fit_pairs(features, np.array(learns) % 2)
+    assert np.allclose(model.centre, features.mean(axis=0), rtol=1e-9, atol=1e-12)
+    assert np.allclose(model.weights, want.weights, atol=1e-5)
+    assert np.isclose(model.cut, want.cut, atol=1e-5) and np.isclose(model.slope, want.slope, rtol=1e-5)
+
+
+def test_word_buckets_equal_a_plain_count():
     words = b"The cat the CAT sat".split()
     found = quality.word_buckets(words, dict.fromkeys(words, 1))
     want = np.zeros(quality.GRAM_BUCKETS)
