@@ -14,6 +14,7 @@ from fundspark.functions.classify import country_of
 from fundspark.functions.money import NUMERIC, coalesce_zero, convert, net_of_vat
 from fundspark.operators.catalog import catalog_vendor_products
 from fundspark.operators.dedup import first_per_key, newest_first, tie_break
+from fundspark.operators.lineage import materialise
 from fundspark.operators.nested import sorted_list
 from fundspark.operators.skew import all_of, bounded_join, hot_keys, lookup_join
 from fundspark.operators.temporal import (
@@ -518,6 +519,42 @@ def trusted_item_id(
     return F.when(known_here & (created >= F.expr(f"TIMESTAMP '{since}'")), item)
 
 
+def _with_external(products: DataFrame, skus: DataFrame, external: DataFrame) -> DataFrame:
+    """Add ``abs_discount_value_lt``, paid for a SKU of an order and campaign; several rows may match.
+
+    ``skus`` has one row per product with all its SKUs. The few paid rows go to the products, not the
+    lines to the SKUs, so lines move once, by order and product, as those that group them need it. A
+    line whose product has several SKUs counts once per SKU, whether something was paid or not.
+    """
+    product = ["global_entity_id", "product_id"]
+    of_sku = skus.select(*product, F.explode("__skus.sku").alias("sku"))
+    paid = external.select(
+        "global_entity_id", "order_id", "sku", "campaign_id", "abs_discount_value_lt"
+    ).join(of_sku, ["global_entity_id", "sku"])
+    paid = paid.select(
+        F.col("global_entity_id").alias("__paid_entity"),
+        F.col("order_id").alias("__paid_order"),
+        F.col("product_id").alias("__paid_product"),
+        F.col("campaign_id").alias("__paid_campaign"),
+        F.col("sku").alias("__paid_sku"),
+        "abs_discount_value_lt",
+    )
+    lines = bounded_join(products, skus.where(F.size("__skus") > 1), product, "left")
+    lines = lines.withColumn("__sku", F.explode_outer("__skus")).drop("__skus")
+    lines = lines.repartition("global_entity_id", "order_id", "product_id")
+    campaign = lines["campaign_id"]
+    # Not written as an equality, which would make the campaign a part of what lines are dealt by.
+    same_campaign = paid["__paid_campaign"].between(campaign, campaign)
+    on = [
+        lines["global_entity_id"] == paid["__paid_entity"],
+        lines["order_id"] == paid["__paid_order"],
+        lines["product_id"] == paid["__paid_product"],
+        same_campaign,
+        lines["__sku"].isNull() | (lines["__sku"]["sku"] == paid["__paid_sku"]),
+    ]
+    return lines.join(paid, all_of(on), "left")
+
+
 def order_line_campaigns(
     orders: DataFrame,
     catalog: DataFrame,
@@ -532,11 +569,12 @@ def order_line_campaigns(
     figures are defined. ``dedupe_products`` counts them once instead. The arrays hold the
     campaigns of one basket line, which the clean feed keeps unique.
     """
-    skus = (
+    skus = materialise(
         catalog_vendor_products(catalog)
         .where(F.col("global_catalog_id").isNotNull())
-        .select("global_entity_id", F.col("global_catalog_id").alias("product_id"), "sku")
-        .distinct()
+        .groupBy("global_entity_id", F.col("global_catalog_id").alias("product_id"))
+        .agg(F.collect_set(F.struct("sku")).alias("__skus")),
+        "product-skus",
     )
     head = ["created_date", "created_at_utc", "region", "global_entity_id", "country_code",
             "order_id", "exchange_rate_value"]
@@ -547,12 +585,7 @@ def order_line_campaigns(
         "p.absolute_discount_lc", "p.distributed_discounted_price",
         F.posexplode_outer("p.campaigns").alias("__pos", "c"),
     ).select("*", "c.*").drop("c")
-    paid = external.select(
-        "global_entity_id", "order_id", "sku", "campaign_id", "abs_discount_value_lt"
-    )
-    joined = products.join(skus, ["global_entity_id", "product_id"], "left").join(
-        paid, ["global_entity_id", "order_id", "sku", "campaign_id"], "left"
-    )
+    joined = _with_external(products, skus, external)
     rate = F.col("exchange_rate_value")
     once = (F.coalesce("__pos", F.lit(0)) == 0) if dedupe_products else F.lit(True)
     funded = F.coalesce("abs_discount_value_lt", "supplier_funded_amount")

@@ -8,13 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundspark.operators import feeds
-from fundspark.operators.catalog import vendor_products_flags
+from fundspark.operators.catalog import catalog_vendor_products, vendor_products_flags
+from fundspark.operators.lines import order_line_campaigns
 from fundspark.operators.nested import fold, fold_many
 from fundspark.operators.temporal import dense_keys
 from fundspark.plans import funding_v2 as v2
 from suite import run_query
 from suite.funding import Run
-from suite.model import FULL
+from suite.model import FULL, Inputs
 
 T0 = datetime(2020, 1, 1)
 KEYS = ["country_code", "global_entity_id", "campaign_id", "sku"]
@@ -133,3 +134,48 @@ def test_run_metrics_reads_the_funding_it_wrote(spark):
     found = run_query("run_metrics", spark, "/root/testdata/sf0.001")
     assert any("/order_funding-" in f for f in found.inputFiles())
     assert not any("/lineitem" in f for f in found.inputFiles())
+
+
+def test_lines_move_once_to_their_order_and_product(spark, no_broadcast):
+    """Products of one SKU, of several, of none; paid for one of them, twice, or for nothing."""
+    catalog = spark.createDataFrame(
+        [("EF_AT", "s1", [("p1",), (None,)]), ("EF_AT", "s2", [("p2",), ("p1b",)]), ("EF_AT", "s3", [("p2",)]), ("EF_AT", None, [("p2",), ("p3",)])],
+        "global_entity_id string, sku string, vendor_products array<struct<global_catalog_id string>>",
+    )
+    campaign = [("c1", 2.0, 1.0, 1.0, 1.0), ("c2", 3.0, None, 1.0, 1.0), (None, 1.0, None, 1.0, 1.0)]
+    product = [(p, "x", "i", None, 1.0, 2.0, 4.0, 3.0, 1.0, 3.0, campaign) for p in ("p1", "p2", "p3", "p4", None)]
+    orders = spark.createDataFrame(
+        [(T0.date(), T0, "eu", "EF_AT", "at", o, 2.0, product if o != "o3" else None) for o in ("o1", "o2", "o3", None)],
+        """created_date date, created_at_utc timestamp, region string, global_entity_id string, country_code string,
+        order_id string, exchange_rate_value double, products array<struct<product_id string, platform_product_id string,
+        promo_order_item_id string, parent_product_id string, product_qty double, product_unit_price double,
+        subtotal double, total double, absolute_discount_lc double, distributed_discounted_price double,
+        campaigns array<struct<campaign_id string, discount_lc double, supplier_funded_amount double,
+        trigger_qty double, benefit_qty double>>>>""",
+    )
+    paid = [("EF_AT", "o1", s, c, float(i)) for i, (s, c) in enumerate([("s1", "c1"), ("s2", "c1"), ("s2", "c1"), ("s3", "c2"), (None, "c1"), ("s1", None)])]
+    external = spark.createDataFrame(
+        paid, "global_entity_id string, order_id string, sku string, campaign_id string, abs_discount_value_lt double"
+    )
+    found = order_line_campaigns(orders, catalog, external)
+    # One for the lines, two to find the products of what was paid, one for what was paid.
+    assert executed(found).count("Exchange hashpartitioning") == 4
+    skus = catalog_vendor_products(catalog).where("global_catalog_id is not null")
+    skus = skus.selectExpr("global_entity_id", "global_catalog_id as product_id", "sku").distinct()
+    flat = orders.selectExpr("global_entity_id", "order_id", "explode_outer(products) as p")
+    flat = flat.selectExpr("global_entity_id", "order_id", "p.product_id", "p.product_qty", "explode_outer(p.campaigns) as c")
+    flat = flat.selectExpr("*", "c.campaign_id").join(skus, ["global_entity_id", "product_id"], "left")
+    flat = flat.join(external, ["global_entity_id", "order_id", "sku", "campaign_id"], "left")
+    wanted = flat.groupBy("order_id", "product_id").agg(
+        F.sum("product_qty").alias("q"), F.coalesce(F.sum("abs_discount_value_lt"), F.sum("c.supplier_funded_amount"), F.lit(0.0)).alias("f")
+    )
+    assert equal(found.select("order_id", "global_catalog_id", "quantity_sold", "order_items_supplier_funded_lc"), wanted)
+    assert wanted.where("order_id = 'o1' and product_id = 'p2'").first()["q"] == 10.0
+
+
+def test_promo_orders_are_nested_where_their_lines_are(spark, no_broadcast):
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    made, by_text = inputs._one_pass("f_promo_flat", "okey"), inputs("f_promo_flat")
+    assert equal(made.drop("__key"), by_text) and made.drop("__key").schema.names == by_text.schema.names
+    # Lines, orders twice, customers, nations and regions; nothing for the documents.
+    assert executed(inputs.promo_orders).count("Exchange hashpartitioning") <= 6
