@@ -21,10 +21,12 @@ from fundspark.operators.temporal import (
     OPEN_END,
     OPEN_START,
     SLICE,
+    ChangeLog,
     History,
     asof_join,
     carry_asof,
     dense_keys,
+    may_have_dense_keys,
     scd2_from_events,
     with_dense_slice,
     with_neighbour,
@@ -173,12 +175,15 @@ def warehouse_asof(lines: DataFrame, intervals: DataFrame, ctx: RunContext) -> D
     ).withColumn("is_dark_store", F.coalesce("is_dark_store", F.lit(False)))
 
 
+def known_rates(events: DataFrame, last_day: date | None) -> DataFrame:
+    if last_day is None:
+        return events
+    return events.where(F.to_date("timestamp_valid_from") <= F.lit(last_day))
+
+
 def vat_intervals(events: DataFrame, last_day: date | None = None) -> DataFrame:
     """VAT rates as intervals; changes after ``last_day`` are not known yet."""
-    known = events
-    if last_day is not None:
-        known = events.where(F.to_date("timestamp_valid_from") <= F.lit(last_day))
-    changes = known.select(
+    changes = known_rates(events, last_day).select(
         "global_entity_id",
         "global_catalog_id",
         F.col("timestamp_valid_from").alias("valid_from_utc"),
@@ -275,13 +280,22 @@ ATTRIBUTES: Mapping[str, tuple[str, str]] = {
 LENIENT_FIELDS = ("average_weight_per_piece",)
 
 
-def attribute_changes(log: DataFrame, ctx: RunContext) -> DataFrame:
-    """Last change per product, field and local day, up to the run date."""
+def typed_value(field: str, kind: str):
+    """How the logged text of a field is read."""
+    return lambda value: value.try_cast(kind) if field in LENIENT_FIELDS else value.cast(kind)
+
+
+def known_changes(log: DataFrame, ctx: RunContext) -> DataFrame:
+    """Changes of the kept attributes up to the run date."""
     fields = [field for field, _ in ATTRIBUTES.values()]
     day = F.to_date("valid_from_lt")
-    kept = log.where(F.col("updated_field").isin(fields) & (day <= F.lit(ctx.as_of)))
+    return log.where(F.col("updated_field").isin(fields) & (day <= F.lit(ctx.as_of)))
+
+
+def attribute_changes(log: DataFrame, ctx: RunContext) -> DataFrame:
+    """Last change per product, field and local day, up to the run date."""
     return first_per_key(
-        kept.withColumn("__day", day),
+        known_changes(log, ctx).withColumn("__day", F.to_date("valid_from_lt")),
         ["global_entity_id", "global_catalog_id", "updated_field", "__day"],
         [*newest_first("valid_from_lt"), *tie_break("updated_value")],
     ).drop("__day")
@@ -300,8 +314,7 @@ def attribute_asof(lines: DataFrame, log: DataFrame, ctx: RunContext) -> DataFra
     if SLICE not in kept:
         lines = with_dense_slice(lines, list(SOLD_PRODUCT), ORDER_TIME, dense, **_asof(ctx))
     for out, (field, kind) in ATTRIBUTES.items():
-        value = F.col("updated_value")
-        typed = value.try_cast(kind) if field in LENIENT_FIELDS else value.cast(kind)
+        typed = typed_value(field, kind)(F.col("updated_value"))
         history = changes.where(F.col("updated_field") == field).withColumn("__value", typed)
         lines = asof_join(
             lines, history, SOLD_PRODUCT, ORDER_TIME, values={out: "__value"}, dense=dense, **_asof(ctx)
@@ -324,29 +337,49 @@ def product_histories(
     """VAT, listed price, sales buffer and the four weight attributes of a product at order time.
 
     The same columns as ``vat_asof``, ``price_asof``, ``sales_buffer_asof`` and ``attribute_asof``
-    one after another, from one merge of all seven histories: the lines move once, by product and
-    time slice where it has many versions. ``hot`` are the products to deal to several tasks
-    (``hot_keys``), ``vat_events`` what ``vat`` was made from: counting those moves less.
+    one after another, from one merge of all seven histories: lines and versions move once, by
+    product, and where a product has very many versions by time slice too. ``hot`` are the products to
+    deal to several tasks (``hot_keys``), ``vat_events`` what ``vat`` was made from, up to ``last_day``:
+    those are merged as they are.
     """
     if last_day is not None:
         sales_buffers = sales_buffers.where(F.to_date("valid_from_lt") <= F.lit(last_day))
-    changes = attribute_changes(attribute_log, ctx)
-    histories = [
-        History(vat, FULFILLED_PRODUCT, {"__vat": "history_vat_rate"}),
+    stored = [
         History(_since(prices, "valid_from_lt", ctx), FULFILLED_PRODUCT, {"__listed": "original_price_lc"}),
         History(sales_buffers, SOLD_PRODUCT, {"sales_buffer": "sales_buffer"}),
     ]
-    for out, (field, kind) in ATTRIBUTES.items():
-        value = F.col("updated_value")
-        typed = value.try_cast(kind) if field in LENIENT_FIELDS else value.cast(kind)
-        of_field = changes.where(F.col("updated_field") == field).withColumn("__value", typed)
-        histories.append(History(of_field, SOLD_PRODUCT, {out: "__value"}))
+    common, asof = "global_catalog_id", _asof(ctx)
     counted = [vat if vat_events is None else vat_events, prices, sales_buffers, attribute_log]
-    versions = reduce(DataFrame.unionAll, [df.select("global_catalog_id") for df in counted])
+    versions = reduce(DataFrame.unionAll, [df.select(common) for df in counted])
+    if may_have_dense_keys(versions, common):
+        # Their versions are cut into time slices, so all of them are cleaned before they move.
+        dense = dense_keys(versions, [common])
+        changes = attribute_changes(attribute_log, ctx)
+        stored.append(History(vat, FULFILLED_PRODUCT, {"__vat": "history_vat_rate"}))
+        for out, (field, kind) in ATTRIBUTES.items():
+            value = typed_value(field, kind)(F.col("updated_value"))
+            of_field = changes.where(F.col("updated_field") == field).withColumn("__value", value)
+            stored.append(History(of_field, SOLD_PRODUCT, {out: "__value"}))
+    else:
+        dense, asof = None, {}
+        casts = {out: (field, typed_value(field, kind)) for out, (field, kind) in ATTRIBUTES.items()}
+        stored.append(
+            ChangeLog(
+                known_changes(attribute_log, ctx), SOLD_PRODUCT, "updated_value", casts,
+                valid_to="valid_to_utc", kind="updated_field", seen="valid_from_lt",
+            )
+        )
+        if vat_events is None:
+            stored.append(History(vat, FULFILLED_PRODUCT, {"__vat": "history_vat_rate"}))
+        else:
+            known = known_rates(vat_events, last_day)
+            casts = {"__vat": (None, lambda rate: rate)}
+            stored.append(
+                ChangeLog(known, FULFILLED_PRODUCT, "vat_rate", casts, valid_from="timestamp_valid_from")
+            )
     carried = carry_asof(
-        lines, histories, ORDER_TIME, common="global_catalog_id",
-        spread_by=["order_id", "picking_order_item_id"], hot=hot,
-        dense=dense_keys(versions, ["global_catalog_id"]), **_asof(ctx),
+        lines, stored, ORDER_TIME, common=common,
+        spread_by=["order_id", "picking_order_item_id"], hot=hot, dense=dense, **asof,
     )
     rate = F.coalesce(F.col("__vat").cast(NUMERIC).cast("double"), F.col("vat_percentage"))
     return price_columns(carried.withColumn("product_vat_rate", rate)).drop("__vat", "__listed")

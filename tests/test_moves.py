@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from fundspark.operators import feeds
+from fundspark.operators import lines as ops
 from fundspark.operators.catalog import catalog_vendor_products, vendor_products_flags
 from fundspark.operators.lines import order_line_campaigns
 from fundspark.operators.nested import fold, fold_many
-from fundspark.operators.temporal import dense_keys
+from fundspark.operators.temporal import dense_keys, may_have_dense_keys
 from fundspark.plans import funding_v2 as v2
 from suite import run_query
 from suite.funding import Run
@@ -179,3 +181,55 @@ def test_promo_orders_are_nested_where_their_lines_are(spark, no_broadcast):
     assert equal(made.drop("__key"), by_text) and made.drop("__key").schema.names == by_text.schema.names
     # Lines, orders twice, customers, nations and regions; nothing for the documents.
     assert executed(inputs.promo_orders).count("Exchange hashpartitioning") <= 6
+
+
+def test_versions_move_once_with_their_lines(spark, no_broadcast, monkeypatch):
+    """Changes of one day and of one instant, values that cannot be read, versions without a duration."""
+    day, ctx = timedelta(days=1), replace(FULL, as_of=date(2022, 1, 1), date_fin=date(2022, 1, 1))
+    times = [T0 + i * day / 4 for i in range(-8, 24)] + [datetime(2030, 1, 1), datetime(2031, 1, 1)]
+    products = ["p", "q", "r", None]
+    lines = spark.createDataFrame(
+        [("A", "B" if i % 3 else "A", p, f"o{i}", f"{p}{i}", t, 3.0, 10.0, 4.0) for p in products for i, t in enumerate(times)],
+        "global_entity_id string, fulfilled_by_entity string, global_catalog_id string, order_id string,"
+        " picking_order_item_id string, order_created_at_utc timestamp, vat_percentage double, unit_price_lc double, unit_price_paid_lc double",
+    )
+    where = [(e, p) for e in ("A", "B", None) for p in products]
+    # Twice at one instant, without a time, and after the last end.
+    rates = [(None, "9"), (T0, "7"), (T0, "5"), (T0, None), (T0 + day, "8"), (datetime(2030, 6, 1), "6")]
+    events = spark.createDataFrame(
+        [(e, p, t, r) for e, p in where for t, r in (rates if p != "q" else rates[:-1])],
+        "global_entity_id string, global_catalog_id string, timestamp_valid_from timestamp, vat_rate string",
+    )
+    prices = spark.createDataFrame([(e, p, T0, T0 + day, T0, 11.0) for e, p in where], "global_entity_id string, global_catalog_id string, valid_from_utc timestamp, valid_to_utc timestamp, valid_from_lt timestamp, original_price_lc double")
+    buffers = prices.withColumnRenamed("original_price_lc", "sales_buffer")
+    # The newest of a day counts, by local time, even where it holds for no time at all.
+    changes = [(T0 - day, T0, T0 - day), (T0, T0 + day, T0), (T0 + day / 4, T0 + 2 * day, T0 + day / 4),
+               (T0 + day, T0 + day, T0 + day * 1.3), (T0 + day, T0 + 4 * day, T0 + day), (T0 + 2 * day, T0 + 4 * day, T0 + 2 * day), (None, T0 + 9 * day, T0 + 4.5 * day),
+               (T0 + 4 * day, T0 + 5 * day, T0 + 4 * day), (T0 + 3 * day, T0 + 9 * day, None)]
+    values = {"minimum_starting_weight": "0.5", "sold_by_weight": "true", "sold_by_piece": "false", "average_weight_per_piece": "heavy", "other": "x"}
+    log = spark.createDataFrame(
+        [(e, p, f, v if i % 4 or f.startswith("sold") else "2", *c) for e, p in where for f, v in values.items() for i, c in enumerate(changes)],
+        "global_entity_id string, global_catalog_id string, updated_field string, updated_value string,"
+        " valid_from_utc timestamp, valid_to_utc timestamp, valid_from_lt timestamp",
+    )
+    vat = ops.vat_intervals(events)
+    given = {"vat": vat, "prices": prices, "sales_buffers": buffers, "attribute_log": log, "ctx": ctx, "vat_events": events}
+    found = ops.product_histories(lines, **given)
+    # One for lines and versions alike.
+    assert executed(found).count("Exchange hashpartitioning") == 1
+    plain = ops.vat_asof(lines, vat, ctx)
+    plain = ops.attribute_asof(ops.sales_buffer_asof(ops.price_asof(plain, prices, ctx), buffers, ctx), log, ctx)
+    plain = plain.select(*found.columns)
+    assert found.count() == lines.count() and found.where("is_sold_by_weight").count() > 0
+    assert equal(found, plain)
+    assert equal(found, ops.product_histories(lines, **given, hot=spark.createDataFrame([("p", 3)], "global_catalog_id string, __parts int")))
+    # With keys of very many versions all is cleaned first and cut into slices of time.
+    monkeypatch.setattr(ops, "may_have_dense_keys", lambda *_: True)
+    monkeypatch.setattr(ops, "dense_keys", lambda rows, keys: dense_keys(rows, keys, 5))
+    assert equal(found, ops.product_histories(lines, **given))
+
+
+def test_a_key_with_very_many_versions_is_found(spark):
+    rows = spark.range(20_000).selectExpr("cast(id as string) as k").unionAll(spark.range(1_500).selectExpr("'x' as k"))
+    assert may_have_dense_keys(rows, "k") and not may_have_dense_keys(rows.where("k <> 'x'"), "k")
+    assert not may_have_dense_keys(rows.selectExpr("cast(null as string) as k"), "k") and not may_have_dense_keys(rows.limit(0), "k")
