@@ -233,3 +233,28 @@ def test_a_key_with_very_many_versions_is_found(spark):
     rows = spark.range(20_000).selectExpr("cast(id as string) as k").unionAll(spark.range(1_500).selectExpr("'x' as k"))
     assert may_have_dense_keys(rows, "k") and not may_have_dense_keys(rows.where("k <> 'x'"), "k")
     assert not may_have_dense_keys(rows.selectExpr("cast(null as string) as k"), "k") and not may_have_dense_keys(rows.limit(0), "k")
+
+
+def test_lines_move_once_for_both_campaign_keys(spark, no_broadcast):
+    line = "global_entity_id string, country_code string, order_id string, global_catalog_id string, platform_product_id string, promo_order_item_id string"
+    ids = [(g, p, i) for g in ("g1", "g2", None) for p in ("p1", "p2", None) for i in ("i", None)]
+    lines = spark.createDataFrame([("A", c, o, *x) for c in ("at", "AT", None) for o in ("o1", "o2", None) for x in ids], line)
+    campaigns = spark.createDataFrame(
+        [("A", "At", o, *x, *[float(n)] * len(ops.MATCH_AMOUNTS), [str(n)], ["c"])
+         for o in ("o1", None) for n, x in enumerate([("g1", "p1", "i"), ("g1", "p1", "i"), ("g1", None, None), ("g9", "p2", None), (None, "p2", "i")])],
+        f"{line}, {', '.join(f'{c} double' for c in ops.MATCH_AMOUNTS)}, campaign_info array<string>, combo_products array<string>",
+    )
+    found = ops.two_key_match(lines, campaigns)
+    # One for the lines, one each time for the campaigns.
+    assert executed(found).count("Exchange hashpartitioning") <= 3
+    amount, wanted = ops.MATCH_AMOUNTS[0], []
+    rows = [r.asDict() for r in campaigns.collect()]
+    for r in lines.collect():
+        def match(key):
+            same = [c for c in rows if None not in (r["country_code"], r["order_id"], r[key], c["order_id"], c[key])
+                    and c["country_code"].lower() == r["country_code"].lower() and c["promo_order_item_id"] == r["promo_order_item_id"]]
+            return [c for c in same if c["order_id"] == r["order_id"] and c[key] == r[key]]
+
+        of_line = match("global_catalog_id") or match("platform_product_id") or [{amount: 0.0}]
+        wanted += [(*r, c[amount]) for c in of_line]
+    assert sorted(map(tuple, found.select(*lines.columns, amount).collect()), key=str) == sorted(wanted, key=str)
