@@ -13,6 +13,7 @@ from fundspark.operators import lines as ops
 from fundspark.operators.catalog import catalog_vendor_products, vendor_products_flags
 from fundspark.operators.lines import order_line_campaigns
 from fundspark.operators.nested import fold, fold_many
+from fundspark.operators.skew import of_few_keys
 from fundspark.operators.temporal import dense_keys, may_have_dense_keys
 from fundspark.plans import funding_v2 as v2
 from suite import run_query
@@ -258,3 +259,27 @@ def test_lines_move_once_for_both_campaign_keys(spark, no_broadcast):
         of_line = match("global_catalog_id") or match("platform_product_id") or [{amount: 0.0}]
         wanted += [(*r, c[amount]) for c in of_line]
     assert sorted(map(tuple, found.select(*lines.columns, amount).collect()), key=str) == sorted(wanted, key=str)
+
+
+def test_only_versions_of_wanted_keys_move(spark):
+    facts = spark.createDataFrame([("a", "1"), ("a", None), (None, "2"), ("a", "1")], "e string, k string")
+    rows = spark.createDataFrame([(e, k, v) for e in ("a", "b", None) for k in ("1", "2", None) for v in (1, 2)], "entity string, k string, v int")
+    other = rows.withColumn("k", F.col("k").cast("int"))  # compared by value, so not by its hash
+    kept, whole = of_few_keys([rows, other], facts, {"e": "entity", "k": "k"})
+    on = [facts["e"] == kept["entity"], facts["k"] == kept["k"]]
+    assert equal(facts.join(kept, on).select(kept["*"]), facts.join(rows, [facts["e"] == rows["entity"], facts["k"] == rows["k"]]).select(rows["*"]))
+    assert kept.where("entity = 'b'").isEmpty() and kept.columns == rows.columns and equal(whole, other)
+    assert equal(of_few_keys([rows], facts, {"e": "entity"}, max_rows=1)[0], rows)
+
+
+def test_a_daily_run_merges_what_it_sold(spark, monkeypatch):
+    seen = []
+    merge = ops.carry_asof
+    monkeypatch.setattr(ops, "carry_asof", lambda facts, histories, *a, **b: seen.append(histories) or merge(facts, histories, *a, **b))
+    found = run_query("order_lines_curated_daily", spark, "/root/testdata/sf0.001")
+    sold = found.select("global_catalog_id").distinct().count()
+    known = Inputs(spark, "/root/testdata/sf0.001")("f_buffer_history").select("global_catalog_id").distinct().count()
+    buffers = next(h.rows for h in seen[0] if "sales_buffer" in getattr(h, "values", {}))
+    kept = buffers.select("global_catalog_id").distinct().count()
+    # The run also reads the day behind the one it shows.
+    assert 0 < sold and kept < known / 20
